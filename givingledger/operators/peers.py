@@ -23,6 +23,7 @@ from givingledger.params import ExportParams
 
 # Range widths from coarse to fine. Amounts have 15 digits before the point and 4 after it.
 RANGE_WIDTHS = {"Range1": "100000000000", "Range2": "1000000", "Range3": "10"}
+UNKNOWN_RANGE = -(2**63)
 
 
 def previous_year_amounts(donations: DataFrame, params: ExportParams) -> DataFrame:
@@ -53,30 +54,43 @@ def summary(counts: DataFrame, top_percent: int | None) -> DataFrame:
 
 
 def larger_gifts(counts: DataFrame) -> DataFrame:
-    """Amounts with the number of gifts of a larger amount (``Larger``)."""
-    ranged = counts.filter(F.col("Amount").isNotNull()).withColumns(
+    """Amounts with the number of gifts of a larger amount (``Larger``).
+
+    Every level starts from ``counts``. Unknown amounts get a lowest range of their own instead of
+    NULL: joins then imply no filters, all levels read the same plan, and Spark runs it once.
+    """
+    ranged = counts.withColumns(
         {
-            name: F.call_function("div", F.col("Amount"), F.lit(width).cast(MONEY))
+            name: F.coalesce(
+                F.call_function("div", F.col("Amount"), F.lit(width).cast(MONEY)),
+                F.lit(UNKNOWN_RANGE),
+            )
             for name, width in RANGE_WIDTHS.items()
         }
     )
-    outer: list[str] = []
-    larger_outside = None
-    for level in (*RANGE_WIDTHS, "Amount"):
-        keys = [*outer, level]
-        within = Window.partitionBy(*outer) if outer else Window.partitionBy(F.lit(0))
-        before = within.orderBy(F.desc(level)).rowsBetween(Window.unboundedPreceding, -1)
-        parts = ranged.groupBy(*keys).agg(F.sum("Gifts").alias("Gifts"))
-        running = parts.select(
-            *keys, "Gifts", F.coalesce(F.sum("Gifts").over(before), F.lit(0)).alias("Larger")
+    levels = (*RANGE_WIDTHS, "Amount")
+    ranks = _larger_in_range(ranged, [], levels[0])
+    for depth in range(1, len(levels)):
+        outer = list(levels[:depth])
+        outside = ranks.select(*outer, F.col("Larger").alias("LargerOutside"))
+        ranks = (
+            _larger_in_range(ranged, outer, levels[depth])
+            .join(outside, outer)
+            .withColumn("Larger", F.col("Larger") + F.col("LargerOutside"))
+            .select(*outer, levels[depth], "Gifts", "Larger")
         )
-        if larger_outside is not None:
-            outside = larger_outside.select(*outer, F.col("Larger").alias("LargerOutside"))
-            running = running.join(outside, outer).select(
-                *keys, "Gifts", (F.col("Larger") + F.col("LargerOutside")).alias("Larger")
-            )
-        outer, larger_outside = keys, running
-    return larger_outside
+    return ranks
+
+
+def _larger_in_range(ranged: DataFrame, outer: list[str], level: str) -> DataFrame:
+    """Gifts per part of each outer range, and how many of that range are in larger parts."""
+    within = Window.partitionBy(*(outer or [F.lit(0)])).orderBy(F.desc_nulls_last(level))
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranged.groupBy(*outer, level)
+        .agg(F.sum("Gifts").alias("Gifts"))
+        .withColumn("Larger", F.coalesce(F.sum("Gifts").over(before), F.lit(0)))
+    )
 
 
 def top_total(counts: DataFrame, totals: DataFrame) -> DataFrame:
