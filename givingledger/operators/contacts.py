@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from givingledger.functions.text import blank_if_null
+from givingledger.operators.joins import lookup
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
 
@@ -64,9 +65,9 @@ def parent_contacts(tables: DonorTables) -> DataFrame:
 
 def resolved_contacts(donors: DataFrame, tables: DonorTables) -> DataFrame:
     """Donors with the ids of their contacts. Only ids move through the two joins."""
+    with_parent = donors.join(default_parent(tables.donor_links), DONOR, "left")
     return (
-        donors.join(default_parent(tables.donor_links), DONOR, "left")
-        .join(parent_contacts(tables), "ParentID", "left")
+        lookup(with_parent, parent_contacts(tables), "ParentID", DONOR)
         .withColumns(
             {
                 "AddressID": F.coalesce("OverrideAddressID", "ParentAddressID"),
@@ -78,36 +79,31 @@ def resolved_contacts(donors: DataFrame, tables: DonorTables) -> DataFrame:
 
 
 def with_address(resolved: DataFrame, tables: DonorTables) -> DataFrame:
-    return resolved.join(tables.addresses, "AddressID", "left")
+    return lookup(resolved, tables.addresses, "AddressID", DONOR)
 
 
 def with_phone(resolved: DataFrame, tables: DonorTables) -> DataFrame:
     """A number is found only if some link mentions it, even where a donor overrides the phone."""
     linked = tables.phones.join(tables.phone_links, "PhoneNumberID", "left_semi")
-    return resolved.join(linked, "PhoneNumberID", "left")
+    return lookup(resolved, linked, "PhoneNumberID", DONOR)
 
 
 def with_email(resolved: DataFrame, tables: DonorTables) -> DataFrame:
-    return resolved.join(tables.emails.select("EmailAddressID", "Email"), "EmailAddressID", "left")
+    emails = tables.emails.select("EmailAddressID", "Email")
+    return lookup(resolved, emails, "EmailAddressID", DONOR)
 
 
 def donor_advised_fund(params: ExportParams, strict: bool = True) -> Column:
     """Own flag, or default parent's organization type, or its class. Unknown counts as no."""
-    parent_class = F.col("ParentSystemClassID")
-    if strict:
-        several = F.raise_error(
-            F.concat(F.lit("several default links: donor "), F.col(DONOR).cast("string"))
-        )
-        parent_class = F.when(F.col("DefaultLinks") > 1, several.cast("int")).otherwise(
-            parent_class
-        )
     organization = F.col("OrganizationType") == F.lit(params.daf_organization_type)
-    return F.coalesce(
-        F.col("IsDonorAdvisedFund")
-        | organization
-        | (parent_class == F.lit(params.daf_class_id).cast("int")),
-        F.lit(False),
+    parent_class = F.col("ParentSystemClassID") == F.lit(params.daf_class_id).cast("int")
+    flag = F.coalesce(F.col("IsDonorAdvisedFund") | organization | parent_class, F.lit(False))
+    if not strict:
+        return flag
+    several = F.raise_error(
+        F.concat(F.lit("several default links: donor "), F.col(DONOR).cast("string"))
     )
+    return F.when(F.col("DefaultLinks") > 1, several.cast("boolean")).otherwise(flag)
 
 
 def recipient_address() -> Column:
@@ -127,7 +123,8 @@ def contact_block(
     flagged = resolved_contacts(donors, tables).withColumn(
         "IsDonorAdvisedFund", donor_advised_fund(params, strict)
     )
-    found = with_email(with_phone(with_address(flagged, tables), tables), tables)
+    # The wide address columns come last, so that they are not shuffled again for another lookup.
+    found = with_address(with_email(with_phone(flagged, tables), tables), tables)
     return (
         found.withColumns(
             {

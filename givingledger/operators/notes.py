@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from givingledger.operators.joins import lookup
+
 
 def note_texts(notes: DataFrame, users: DataFrame) -> DataFrame:
     """One row per noted parent: the note with author and day, and the number of notes.
@@ -21,9 +23,9 @@ def note_texts(notes: DataFrame, users: DataFrame) -> DataFrame:
         F.date_format("Created", "yyyy-MM-dd"),
         F.lit(")"),
     )
+    on_someone = notes.filter(F.col("ParentID").isNotNull())
     return (
-        notes.filter(F.col("ParentID").isNotNull())
-        .join(authors, "CreatedBy", "left")
+        lookup(on_someone, authors, "CreatedBy", "ParentID", "Created")
         .select("ParentID", text.alias("Note"))
         .groupBy("ParentID")
         .agg(F.min("Note").alias("Note"), F.count(F.lit(1)).alias("NoteCount"))
