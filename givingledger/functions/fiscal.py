@@ -13,9 +13,9 @@ WINDOW_COUNT = 10
 ONE_DAY = timedelta(days=1)
 
 
-def timestamp(value: datetime) -> Column:
-    """A zone-less literal: the same instant text whatever the session time zone is."""
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+def timestamp(value: datetime) -> str:
+    """A zone-less SQL literal: it means the same whatever the session time zone is."""
+    return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
 
 
 def shift_years(value: datetime, years: int) -> datetime:
@@ -37,8 +37,9 @@ class FiscalWindow:
     start: datetime
     end: datetime
 
-    def covers(self, when: Column) -> Column:
-        return when.between(timestamp(self.start), timestamp(self.end))
+    def covers(self, when: str) -> str:
+        """SQL condition on the column ``when``."""
+        return f"{when} BETWEEN {timestamp(self.start)} AND {timestamp(self.end)}"
 
     @property
     def label(self) -> str:
@@ -74,15 +75,12 @@ class FiscalCalendar:
         current = self.current
         return FiscalWindow(1, shift_years(current.start, -1), shift_years(current.end, -1))
 
-    def years_back(self, when: Column) -> Column:
+    def years_back(self, when: str) -> Column:
         """Number of the window a timestamp falls in, NULL for none (windows never overlap)."""
-        first, *rest = self.windows
-        tag = F.when(first.covers(when), F.lit(first.years_back))
-        for window in rest:
-            tag = tag.when(window.covers(when), F.lit(window.years_back))
-        return tag
+        cases = [f"WHEN {window.covers(when)} THEN {window.years_back}" for window in self.windows]
+        return F.expr(f"CASE {' '.join(cases)} END")
 
-    def giving_year(self, when: Column) -> Column:
+    def giving_year(self, when: str) -> Column:
         """Year a gift counts for: months before the fiscal month are moved up by that offset."""
         month = self.start.month
         moved = F.timestamp_add("MONTH", F.lit(month - 1), when)

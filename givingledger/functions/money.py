@@ -1,4 +1,4 @@
-"""Money arithmetic and formats."""
+"""Money arithmetic and formats, as SQL text over column names or other expressions."""
 
 from __future__ import annotations
 
@@ -22,33 +22,29 @@ def valued_amount() -> Column:
     )
 
 
-def percent_change(new: Column, base: Column) -> Column:
+def percent_change(new: str, base: str) -> str:
     """Change from ``base`` in percent; the ratio keeps four decimals, cut and not rounded.
 
     NULL for a zero base.
     """
-    ten_thousandths = F.call_function("div", (new - base) * 10000, F.nullif(base, F.lit(0)))
-    return (ten_thousandths.cast("decimal(19,0)") / 100).cast(MONEY)
+    ten_thousandths = f"({new} - {base}) * 10000 DIV nullif({base}, 0)"
+    return f"CAST(CAST({ten_thousandths} AS decimal(19,0)) / 100 AS {MONEY})"
 
 
-def two_decimals(amount: Column) -> Column:
-    return amount.cast("decimal(31,2)").cast("string")
+def two_decimals(amount: str) -> str:
+    return f"CAST(CAST({amount} AS decimal(31,2)) AS string)"
 
 
-def currency(amount: Column) -> Column:
+def currency(amount: str) -> str:
     """$1,234.50, and ($1,234.50) below zero. Rounded first: format_number rounds half to even."""
-    return F.call_function(
-        "format_number", F.round(amount, 2), F.lit("$#,##0.00;($#,##0.00)")
-    )
+    return f"format_number(round({amount}, 2), '$#,##0.00;($#,##0.00)')"
 
 
-def whole_dollars(amount: Column) -> Column:
+def whole_dollars(amount: str) -> str:
     """$1,234, and -$1,234 below zero. Adding zero turns a rounded -0.0 into 0.0."""
-    rounded = F.round(amount, 0) + F.lit(0.0)
-    return F.call_function("format_number", rounded, F.lit("$#,##0"))
+    return f"format_number(round({amount}, 0) + 0.0D, '$#,##0')"
 
 
-def up_to_ten(amount: Column) -> Column:
+def up_to_ten(amount: str) -> str:
     """Next multiple of ten; 0 for NULL."""
-    rounded = F.ceil(amount.cast("double") / 10).cast("double") * 10
-    return F.coalesce(rounded, F.lit(0.0))
+    return f"coalesce(CAST(ceil(CAST({amount} AS double) / 10) AS double) * 10, 0.0D)"

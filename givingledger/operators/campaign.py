@@ -43,13 +43,14 @@ def donation_url(params: ExportParams) -> Column:
 
 def campaign_columns(params: ExportParams) -> dict[str, Column]:
     """Output columns over a row of :func:`campaign_summary`."""
-    goal, raised = F.col("CampaignGoal"), F.col("AmountRaised")
     url = donation_url(params)
     return {
         "DonationCampaignTitle": F.col("CampaignTitle"),
-        "DonationCampaignGoalFromTemplate": whole_dollars(goal),
-        "DonationCampaignRaisedFromTemplate": whole_dollars(raised),
-        "DonationCampaignRemainingFromTemplate": whole_dollars(goal - raised),
+        "DonationCampaignGoalFromTemplate": F.expr(whole_dollars("CampaignGoal")),
+        "DonationCampaignRaisedFromTemplate": F.expr(whole_dollars("AmountRaised")),
+        "DonationCampaignRemainingFromTemplate": F.expr(
+            whole_dollars("CampaignGoal - AmountRaised")
+        ),
         "DonationCampaignPercentToGoalFromTemplate": F.concat(
             F.col("PercentToGoal").cast("bigint").cast("string"), F.lit("%")
         ),

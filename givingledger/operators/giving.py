@@ -7,11 +7,18 @@ turns the few rows left of each donor into the wide row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from givingledger.functions.fiscal import WINDOW_COUNT
-from givingledger.functions.money import MONEY, TOTAL, currency, percent_change, valued_amount
+from givingledger.functions.fiscal import WINDOW_COUNT, shift_years, timestamp
+from givingledger.functions.money import (
+    MONEY,
+    TOTAL,
+    currency,
+    percent_change,
+    two_decimals,
+    valued_amount,
+)
 from givingledger.names import (
     CURRENT_DONOR,
     FORMER_DONOR,
@@ -20,11 +27,19 @@ from givingledger.names import (
     NEVER_DONATED,
     YEARS_BACK,
 )
-from givingledger.functions.fiscal import shift_years, timestamp
 from givingledger.params import ExportParams
 
 DONOR = "DonorProfileID"
 
+# An unknown flag is neither yes nor no.
+GIFT_KINDS = {
+    "Plain": "NOT IsStock AND NOT InKind",
+    "Stock": "IsStock",
+    "InKind": "InKind",
+    "NotStock": "NOT IsStock",
+    "NotInKind": "NOT InKind",
+}
+
 
 def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
     """One row per donor, fiscal window and giving year (both NULL where they do not apply).
@@ -32,7 +47,6 @@ def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
     The first, last and largest gift are structs, compared field by field: gifts of the same
     moment are told apart by amount, and a gift without a date comes before all others.
     """
-    when = F.col("DonatedOn")
     calendar = params.calendar
     gifts = donations.filter(F.col(DONOR).isNotNull()).select(
         DONOR,
@@ -41,23 +55,18 @@ def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
         "IsStock",
         "InKind",
         valued_amount().alias("ValuedAmount"),
-        calendar.years_back(when).alias("YearsBack"),
-        calendar.giving_year(when).alias("GivingYear"),
+        calendar.years_back("DonatedOn").alias("YearsBack"),
+        calendar.giving_year("DonatedOn").alias("GivingYear"),
     )
 
-    def dated(condition: Column) -> Column:
-        return F.count(F.when(condition, when))
-
-    stock, in_kind = F.col("IsStock"), F.col("InKind")
     return gifts.groupBy(DONOR, "YearsBack", "GivingYear").agg(
         F.sum("Amount").alias("Donated"),
         F.count("Amount").alias("Priced"),
         F.sum("ValuedAmount").alias("Valued"),
-        dated(~stock & ~in_kind).alias("Plain"),
-        dated(stock).alias("Stock"),
-        dated(in_kind).alias("InKind"),
-        dated(~stock).alias("NotStock"),
-        dated(~in_kind).alias("NotInKind"),
+        *[
+            F.expr(f"count(DonatedOn) FILTER (WHERE {condition}) AS {name}")
+            for name, condition in GIFT_KINDS.items()
+        ],
         F.min(F.struct("DonatedOn", "Amount")).alias("First"),
         F.max(F.struct("DonatedOn", "Amount")).alias("Last"),
         F.max(F.struct("Amount", "DonatedOn")).alias("Largest"),
@@ -77,28 +86,27 @@ def donor_rollup(history: DataFrame) -> DataFrame:
         F.when(year.isNotNull() & ~F.lag(year).over(by_year).eqNullSafe(year), 1).otherwise(0),
     )
 
-    def within(years_back: int, column: str) -> Column:
-        return F.sum(F.when(F.col("YearsBack") == years_back, F.col(column)))
-
-    windows = range(WINDOW_COUNT)
+    within = {
+        "PlainThisYear": ("Plain", 0),
+        "NotStockThisYear": ("NotStock", 0),
+        "NotInKindThisYear": ("NotInKind", 0),
+        "PlainLastYear": ("Plain", 1),
+        "StockLastYear": ("Stock", 1),
+        "InKindLastYear": ("InKind", 1),
+        **{f"Donated{back}": ("Donated", back) for back in range(WINDOW_COUNT)},
+        **{f"Valued{back}": ("Valued", back) for back in range(WINDOW_COUNT)},
+    }
+    lifetime = ("Plain", "Stock", "InKind", "Donated", "Priced")
     return marked.groupBy(DONOR).agg(
         F.sum("NewYear").alias("YearsGiven"),
-        F.sum("Plain").alias("Plain"),
-        F.sum("Stock").alias("Stock"),
-        F.sum("InKind").alias("InKind"),
-        F.sum("Donated").alias("Donated"),
-        F.sum("Priced").alias("Priced"),
+        *[F.sum(name).alias(name) for name in lifetime],
         F.min("First").alias("First"),
         F.max("Last").alias("Last"),
         F.max("Largest").alias("Largest"),
-        within(0, "Plain").alias("PlainThisYear"),
-        within(0, "NotStock").alias("NotStockThisYear"),
-        within(0, "NotInKind").alias("NotInKindThisYear"),
-        within(1, "Plain").alias("PlainLastYear"),
-        within(1, "Stock").alias("StockLastYear"),
-        within(1, "InKind").alias("InKindLastYear"),
-        *[within(back, "Donated").alias(f"Donated{back}") for back in windows],
-        *[within(back, "Valued").alias(f"Valued{back}") for back in windows],
+        *[
+            F.expr(f"sum({column}) FILTER (WHERE YearsBack = {back}) AS {name}")
+            for name, (column, back) in within.items()
+        ],
     )
 
 
@@ -108,69 +116,58 @@ def with_giving(donors: DataFrame, donations: DataFrame, params: ExportParams) -
     return donors.join(rollup.withColumn("HasGiven", F.lit(True)), DONOR, "left")
 
 
-# ---- output columns over a row of with_giving -------------------------------------------------
+# ---- output columns over a row of with_giving, as SQL text by name ----------------------------
 
 
-def _count(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(0)).cast("bigint")
+def _count(column: str) -> str:
+    return f"coalesce({column}, 0L)"
 
 
-def donated(years_back: int) -> Column:
+def donated(years_back: int) -> str:
     """Amounts of a window, 0 for none."""
-    return F.coalesce(F.col(f"Donated{years_back}"), F.lit(0)).cast(TOTAL)
+    return f"CAST(coalesce(Donated{years_back}, 0) AS {TOTAL})"
 
 
-def valued(years_back: int) -> Column:
+def valued(years_back: int) -> str:
     """The same at fair market value."""
-    return F.coalesce(F.col(f"Valued{years_back}"), F.lit(0)).cast(TOTAL)
+    return f"CAST(coalesce(Valued{years_back}, 0) AS {TOTAL})"
 
 
-def donor_status(params: ExportParams) -> Column:
+def status_columns(params: ExportParams) -> dict[str, str]:
     start = params.calendar.start
-    last = F.col("Last.DonatedOn")
-    return (
-        F.when(F.col("HasGiven").isNull(), NEVER_DONATED)
-        .when(last > timestamp(start), CURRENT_DONOR)
-        .when(last > timestamp(shift_years(start, -1)), LAPSING)
-        .when(last > timestamp(shift_years(start, -3)), LAPSED)
-        .otherwise(FORMER_DONOR)
-    )
+    since = {CURRENT_DONOR: 0, LAPSING: -1, LAPSED: -3}
+    tiers = [
+        f"WHEN Last.DonatedOn > {timestamp(shift_years(start, years))} THEN '{status}'"
+        for status, years in since.items()
+    ]
+    text = f"CASE WHEN HasGiven IS NULL THEN '{NEVER_DONATED}' {' '.join(tiers)}"
+    return {"DonorStatus": f"{text} ELSE '{FORMER_DONOR}' END"}
 
 
-def lifetime_columns() -> dict[str, Column]:
-    total, priced = F.col("Donated"), F.col("Priced")
+def lifetime_columns() -> dict[str, str]:
     return {
-        "LifetimeDonatedAmount": total.cast(TOTAL),
-        "AverageDonationAmount": (total.cast(TOTAL) / F.nullif(priced, F.lit(0))).cast(MONEY),
+        "LifetimeDonatedAmount": f"CAST(Donated AS {TOTAL})",
+        "AverageDonationAmount": f"CAST(CAST(Donated AS {TOTAL}) / nullif(Priced, 0) AS {MONEY})",
     }
 
 
-def first_gift_columns() -> dict[str, Column]:
-    return {
-        "FirstDonationDate": F.col("First.DonatedOn"),
-        "FirstDonationAmount": F.col("First.Amount"),
-    }
+def first_gift_columns() -> dict[str, str]:
+    return {"FirstDonationDate": "First.DonatedOn", "FirstDonationAmount": "First.Amount"}
 
 
-def last_gift_columns() -> dict[str, Column]:
-    return {
-        "LastDonationAmount": F.col("Last.Amount"),
-        "LastDonationDate": F.col("Last.DonatedOn"),
-    }
+def last_gift_columns() -> dict[str, str]:
+    return {"LastDonationAmount": "Last.Amount", "LastDonationDate": "Last.DonatedOn"}
 
 
-def largest_gift_columns() -> dict[str, Column]:
-    return {
-        "LargestDonationAmount": F.col("Largest.Amount"),
-        "LargestDonationDate": F.col("Largest.DonatedOn"),
-    }
+def largest_gift_columns() -> dict[str, str]:
+    return {"LargestDonationAmount": "Largest.Amount", "LargestDonationDate": "Largest.DonatedOn"}
 
 
-def years_given_columns() -> dict[str, Column]:
+def years_given_columns() -> dict[str, str]:
     return {"TotalYearsGiven": _count("YearsGiven")}
 
 
-def lifetime_count_columns() -> dict[str, Column]:
+def lifetime_count_columns() -> dict[str, str]:
     return {
         "NumberOfGiftsAndPledgesLifetime": _count("Plain"),
         "NumberOfStockDonationsLifetime": _count("Stock"),
@@ -178,7 +175,7 @@ def lifetime_count_columns() -> dict[str, Column]:
     }
 
 
-def this_year_count_columns() -> dict[str, Column]:
+def this_year_count_columns() -> dict[str, str]:
     """The stock and in-kind counts of the current year count gifts that are *not* of the kind."""
     return {
         "NumberOfGiftsAndPledgesYearToDate": _count("PlainThisYear"),
@@ -187,7 +184,7 @@ def this_year_count_columns() -> dict[str, Column]:
     }
 
 
-def last_year_count_columns() -> dict[str, Column]:
+def last_year_count_columns() -> dict[str, str]:
     return {
         "NumberOfGiftsAndPledgesLastFiscalYear": _count("PlainLastYear"),
         "NumberOfStockDonationsLastFiscalYear": _count("StockLastYear"),
@@ -195,36 +192,33 @@ def last_year_count_columns() -> dict[str, Column]:
     }
 
 
-def window_total_columns() -> dict[str, Column]:
+def window_total_columns() -> dict[str, str]:
     return {f"Donated{YEARS_BACK[k]}YearsAgo": donated(k) for k in range(2, WINDOW_COUNT)}
 
 
-def window_formatted_columns() -> dict[str, Column]:
+def window_formatted_columns() -> dict[str, str]:
     return {
         f"Donated{YEARS_BACK[k]}YearsAgoFormatted": currency(donated(k))
         for k in range(2, WINDOW_COUNT)
     }
 
 
-def window_valued_columns() -> dict[str, Column]:
+def window_valued_columns() -> dict[str, str]:
     """Fair market value of the windows that enter a percent change."""
     return {f"Valued{k}": valued(k) for k in range(WINDOW_COUNT - 1)}
 
 
-def last_year_columns() -> dict[str, Column]:
+def last_year_columns() -> dict[str, str]:
     """Named for last year, and holding the current window."""
-    return {
-        "DonatedLastYear": valued(0),
-        "DonatedLastYearFormatted": currency(valued(0)),
-    }
+    return {"DonatedLastYear": valued(0), "DonatedLastYearFormatted": currency(valued(0))}
 
 
-def previous_three_years_columns() -> dict[str, Column]:
+def previous_three_years_columns() -> dict[str, str]:
     """Named for three years, and holding the window three years back."""
     return {"DonatedPreviousThreeYears": valued(3)}
 
 
-def percent_change_columns() -> dict[str, Column]:
+def percent_change_columns() -> dict[str, str]:
     """Valued gifts of one window against plain amounts of another.
 
     The first one is a number and compares with the current window; the others are texts, and the
@@ -234,15 +228,14 @@ def percent_change_columns() -> dict[str, Column]:
     for base in range(2, WINDOW_COUNT):
         newer = 0 if base == 2 else base - 1
         name = f"PercentChangeFrom{YEARS_BACK[base]}FYAgoTo{YEARS_BACK[base - 1]}FYAgo"
-        change = percent_change(valued(newer), donated(base))
-        columns[name] = change.cast("decimal(19,2)").cast("string")
+        columns[name] = two_decimals(percent_change(valued(newer), donated(base)))
     return columns
 
 
-def giving_columns(params: ExportParams) -> dict[str, Column]:
+def giving_columns(params: ExportParams) -> dict[str, str]:
     """Every output column that derives from a donor's own gifts."""
     return {
-        "DonorStatus": donor_status(params),
+        **status_columns(params),
         **years_given_columns(),
         **lifetime_count_columns(),
         **lifetime_columns(),
@@ -259,10 +252,11 @@ def giving_columns(params: ExportParams) -> dict[str, Column]:
     }
 
 
-def window_label_columns(params: ExportParams) -> dict[str, Column]:
+def window_label_columns(params: ExportParams) -> dict[str, str]:
+    """The bounds of every window, the same for all donors."""
     current, last, *earlier = params.calendar.windows
     return {
-        "FiscalYearToDate": F.lit(current.label),
-        "FiscalLastYear": F.lit(last.label),
-        **{f"Fiscal{YEARS_BACK[w.years_back]}YearsAgo": F.lit(w.label) for w in earlier},
+        "FiscalYearToDate": f"'{current.label}'",
+        "FiscalLastYear": f"'{last.label}'",
+        **{f"Fiscal{YEARS_BACK[w.years_back]}YearsAgo": f"'{w.label}'" for w in earlier},
     }

@@ -57,7 +57,7 @@ def title_totals(donations: DataFrame, purposes: dict[str, tuple[str, DataFrame]
 
 def gift_labels(donations: DataFrame, purposes: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     """One row per donor, one text column per purpose: ``Title ($Sum)`` in text order."""
-    label = F.concat(F.col("Title"), F.lit(" ($"), two_decimals(F.col("Donated")), F.lit(")"))
+    label = F.concat(F.col("Title"), F.lit(" ($"), F.expr(two_decimals("Donated")), F.lit(")"))
     labels = title_totals(donations, purposes).withColumn("Label", label)
     for name in purposes:
         labels = labels.withColumn(name, F.when(F.col("Purpose") == name, F.col("Label")))
@@ -81,7 +81,7 @@ def giving_levels(levels: DataFrame, params: ExportParams) -> DataFrame:
     active = levels.filter(F.col("Active")).filter(
         F.col("DonationTemplateID") == F.lit(params.giving_template_id)
     )
-    amount = two_decimals(F.col("Amount"))
+    amount = F.expr(two_decimals("Amount"))
     plain = F.concat(F.lit("$"), amount, F.lit("|"))
     titled = F.concat(F.col("Title"), F.lit(":"), amount, F.lit(" | "))
     plain_text = _joined_levels(active, plain, SHORTEST_LEVEL, LEVEL_TEXT_CAP, "GivingLevels")

@@ -111,7 +111,7 @@ def peer_averages(donations: DataFrame, params: ExportParams) -> DataFrame:
     top = top_total(counts, totals)
 
     def mean(total: str, number: str) -> Column:
-        return up_to_ten(F.col(total) / F.nullif(F.col(number), F.lit(0)))
+        return F.expr(up_to_ten(f"{total} / nullif({number}, 0)"))
 
     any_gift = F.col("Gifts") > 0
     return totals.crossJoin(F.broadcast(top)).select(

@@ -24,6 +24,7 @@ from givingledger.params import ExportParams
 from givingledger.plans.export import (
     current_date_column,
     donor_export,
+    named,
     parameter_columns,
     placeholder_columns,
 )
@@ -64,11 +65,11 @@ def _query(build: Callable[[DonorTables, ExportParams], DataFrame], **changes: o
     return run
 
 
-def _pick(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return rows.select(DONOR, *[column.alias(name) for name, column in columns.items()])
+def _pick(rows: DataFrame, columns: dict[str, Column | str]) -> DataFrame:
+    return rows.select(DONOR, *named(columns))
 
 
-def _giving(columns: Callable[[ExportParams], dict[str, Column]]) -> Query:
+def _giving(columns: Callable[[ExportParams], dict[str, str]]) -> Query:
     """A query on columns that derive from a donor's gifts; unused aggregates are pruned."""
 
     def build(tables: DonorTables, params: ExportParams) -> DataFrame:
@@ -114,7 +115,7 @@ def _labels(purpose: str) -> Query:
 
 
 def _single_row_per_donor(
-    tables: DonorTables, single_row: DataFrame, columns: dict[str, Column]
+    tables: DonorTables, single_row: DataFrame, columns: dict[str, Column | str]
 ) -> DataFrame:
     return _pick(tables.donors.select(DONOR).crossJoin(F.broadcast(single_row)), columns)
 
@@ -127,13 +128,13 @@ def _campaign_columns(tables: DonorTables, params: ExportParams) -> DataFrame:
 def _year_to_date(tables: DonorTables, params: ExportParams) -> DataFrame:
     names = ("DonatedYearToDate", "DonatedYearToDateFormatted")
     row = year_to_date_total(tables.donations, params)
-    return _single_row_per_donor(tables, row, {name: F.col(name) for name in names})
+    return _single_row_per_donor(tables, row, {name: f"`{name}`" for name in names})
 
 
 def _school_averages(tables: DonorTables, params: ExportParams) -> DataFrame:
     row = peers.peer_averages(tables.donations, params)
     names = (ALL_DONOR_AVERAGE, TOP_DONOR_AVERAGE)
-    return _single_row_per_donor(tables, row, {name: F.col(name) for name in names})
+    return _single_row_per_donor(tables, row, {name: f"`{name}`" for name in names})
 
 
 def _school_top_average(tables: DonorTables, params: ExportParams) -> DataFrame:
@@ -187,7 +188,7 @@ def catalog() -> dict[str, Query]:
         ),
         "fiscal_windows": _query(lambda t, p: window_activity(t.donations, p.calendar)),
         "lifetime_totals": _giving(lambda p: giving.lifetime_columns()),
-        "donor_status": _giving(lambda p: {"DonorStatus": giving.donor_status(p)}),
+        "donor_status": _giving(giving.status_columns),
         "total_years_given": _giving(lambda p: giving.years_given_columns()),
         "gift_counts_lifetime": _giving(lambda p: giving.lifetime_count_columns()),
         "gift_counts_ytd": _giving(lambda p: giving.this_year_count_columns()),

@@ -29,6 +29,14 @@ from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
 
 
+def named(columns: dict[str, Column | str]) -> list[Column]:
+    """Columns, or SQL texts, under their names."""
+    return [
+        F.expr(f"{column} AS `{name}`") if isinstance(column, str) else column.alias(name)
+        for name, column in columns.items()
+    ]
+
+
 def parameter_columns(params: ExportParams) -> dict[str, Column]:
     values = {
         "SchoolName": params.school_name,
@@ -39,10 +47,10 @@ def parameter_columns(params: ExportParams) -> dict[str, Column]:
     return {name: F.lit(value).cast("string") for name, value in values.items()}
 
 
-def placeholder_columns() -> dict[str, Column]:
+def placeholder_columns() -> dict[str, str]:
     return {
-        **{name: F.lit("") for name in EMPTY_TEXT_COLUMNS},
-        **{name: F.lit(0) for name in ZERO_COLUMNS},
+        **{name: "''" for name in EMPTY_TEXT_COLUMNS},
+        **{name: "0" for name in ZERO_COLUMNS},
     }
 
 
@@ -89,7 +97,7 @@ def donor_export(
     ):
         rows = rows.crossJoin(F.broadcast(single_row))
 
-    as_is = (
+    unchanged = (
         DONOR,
         *CONTACT_COLUMNS,
         "IsDonorAdvisedFund",
@@ -101,8 +109,8 @@ def donor_export(
         "Funds",
         "Appeals",
     )
-    columns = {
-        **{name: F.col(name) for name in as_is},
+    columns: dict[str, Column | str] = {
+        **{name: f"`{name}`" for name in unchanged},
         **parameter_columns(params),
         **placeholder_columns(),
         **giving_columns(params),
@@ -111,4 +119,4 @@ def donor_export(
         **current_date_column(params),
         "Notes": note_column(strict),
     }
-    return rows.select(*[columns[name].alias(name) for name in EXPORT_COLUMNS])
+    return rows.select(*named({name: columns[name] for name in EXPORT_COLUMNS}))

@@ -7,11 +7,11 @@ from decimal import Decimal
 
 import pytest
 from fixtures import donor, export_row, export_rows, frame, gift, make_tables, params
-from pyspark.sql import functions as F
 
 from givingledger.functions.fiscal import FiscalCalendar
 from givingledger.operators import giving
 from givingledger.operators.donations import window_activity
+from givingledger.plans.export import named
 
 
 def day(year, month, day_of_month, hour=0):
@@ -24,7 +24,7 @@ def rollup_row(spark, gifts, run=None):
     donors = frame(spark, "donors", [donor()]).select("DonorProfileID")
     joined = giving.with_giving(donors, frame(spark, "donations", gifts), run)
     columns = giving.giving_columns(run)
-    (row,) = joined.select(*[c.alias(n) for n, c in columns.items()]).collect()
+    (row,) = joined.select(*named(columns)).collect()
     return row.asDict()
 
 
@@ -162,7 +162,7 @@ def test_giving_years_of_an_october_start(spark):
     run = params(fiscal_start=day(2023, 10, 1))
     gifts = [gift(1, date) for date in dates]
     assert rollup_row(spark, gifts, run)["TotalYearsGiven"] == 2
-    years = frame(spark, "donations", gifts).select(run.calendar.giving_year(F.col("DonatedOn")))
+    years = frame(spark, "donations", gifts).select(run.calendar.giving_year("DonatedOn"))
     assert [row[0] for row in years.collect()] == [2023, 2024, 2024, 2023]
 
 
@@ -250,9 +250,7 @@ def test_order_of_gifts_does_not_matter(spark):
 
     def result(donations):
         joined = giving.with_giving(tables.donors, donations, run)
-        return joined.select(
-            *[c.alias(n) for n, c in giving.giving_columns(run).items()]
-        ).collect()
+        return joined.select(*named(giving.giving_columns(run))).collect()
 
     assert result(tables.donations.repartition(5, "Amount")) == result(
         tables.donations.coalesce(1).orderBy("Amount", ascending=False)
