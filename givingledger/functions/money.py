@@ -23,12 +23,12 @@ def valued_amount() -> Column:
 
 
 def percent_change(new: str, base: str) -> str:
-    """Change from ``base`` in percent; the ratio keeps four decimals, cut and not rounded.
+    """Change from ``base`` in percent, with two decimals.
 
-    NULL for a zero base.
+    The ratio is cut after four decimals, not rounded. NULL for a zero base.
     """
     ten_thousandths = f"({new} - {base}) * 10000 DIV nullif({base}, 0)"
-    return f"CAST(CAST({ten_thousandths} AS decimal(19,0)) / 100 AS {MONEY})"
+    return f"CAST({ten_thousandths} AS decimal(19,0)) * 0.01BD"
 
 
 def two_decimals(amount: str) -> str:

@@ -16,7 +16,6 @@ from givingledger.functions.money import (
     TOTAL,
     currency,
     percent_change,
-    two_decimals,
     valued_amount,
 )
 from givingledger.names import (
@@ -110,13 +109,23 @@ def donor_rollup(history: DataFrame) -> DataFrame:
     )
 
 
+def join_giving(donors: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Donors with their rollup. ``HasGiven`` is NULL for those without any donation.
+
+    Window sums become zero there and get their final type here, once, since each of them enters
+    several output columns.
+    """
+    sums = [f"{kind}{back}" for kind in ("Donated", "Valued") for back in range(WINDOW_COUNT)]
+    settled = {name: F.expr(f"CAST(coalesce({name}, 0) AS {TOTAL})") for name in sums}
+    given = rollup.withColumn("HasGiven", F.lit(True))
+    return donors.join(given, DONOR, "left").withColumns(settled)
+
+
 def with_giving(donors: DataFrame, donations: DataFrame, params: ExportParams) -> DataFrame:
-    """Donors with their rollup; ``HasGiven`` is NULL for those without any donation."""
-    rollup = donor_rollup(giving_history(donations, params))
-    return donors.join(rollup.withColumn("HasGiven", F.lit(True)), DONOR, "left")
+    return join_giving(donors, donor_rollup(giving_history(donations, params)))
 
 
-# ---- output columns over a row of with_giving, as SQL text by name ----------------------------
+# ---- output columns over a row of join_giving, as SQL text by name ----------------------------
 
 
 def _count(column: str) -> str:
@@ -125,12 +134,12 @@ def _count(column: str) -> str:
 
 def donated(years_back: int) -> str:
     """Amounts of a window, 0 for none."""
-    return f"CAST(coalesce(Donated{years_back}, 0) AS {TOTAL})"
+    return f"Donated{years_back}"
 
 
 def valued(years_back: int) -> str:
     """The same at fair market value."""
-    return f"CAST(coalesce(Valued{years_back}, 0) AS {TOTAL})"
+    return f"Valued{years_back}"
 
 
 def status_columns(params: ExportParams) -> dict[str, str]:
@@ -224,11 +233,12 @@ def percent_change_columns() -> dict[str, str]:
     The first one is a number and compares with the current window; the others are texts, and the
     second one sets the current window against the one two years back.
     """
-    columns = {"PercentChangeFromLastFiscalYear": percent_change(valued(1), donated(0))}
+    first = percent_change(valued(1), donated(0))
+    columns = {"PercentChangeFromLastFiscalYear": f"CAST({first} AS {MONEY})"}
     for base in range(2, WINDOW_COUNT):
         newer = 0 if base == 2 else base - 1
         name = f"PercentChangeFrom{YEARS_BACK[base]}FYAgoTo{YEARS_BACK[base - 1]}FYAgo"
-        columns[name] = two_decimals(percent_change(valued(newer), donated(base)))
+        columns[name] = f"CAST({percent_change(valued(newer), donated(base))} AS string)"
     return columns
 
 

@@ -20,10 +20,11 @@ from givingledger.operators.giving import (
     donor_rollup,
     giving_columns,
     giving_history,
+    join_giving,
     window_label_columns,
 )
 from givingledger.operators.labels import gift_labels, gift_purposes
-from givingledger.operators.notes import note_column, note_texts
+from givingledger.operators.notes import note_column, with_notes
 from givingledger.operators.peers import peer_averages
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
@@ -79,16 +80,9 @@ def donor_export(
         labels = keep_listed(labels, donor_ids, nonempty=True)
 
     # These four share the layout by donor; the frames after them are single rows.
-    rows = (
-        contact_block(donors, tables, params, strict)
-        .join(donor_rollup(history).withColumn("HasGiven", F.lit(True)), DONOR, "left")
-        .join(labels, DONOR, "left")
-        .join(
-            note_texts(tables.notes, tables.users).withColumnRenamed("ParentID", DONOR),
-            DONOR,
-            "left",
-        )
-    )
+    contacts = contact_block(donors, tables, params, strict)
+    rows = join_giving(contacts, donor_rollup(history)).join(labels, DONOR, "left")
+    rows = with_notes(rows, tables.notes, tables.users)
     averages = peer_averages(tables.donations, params).select(ALL_DONOR_AVERAGE, TOP_DONOR_AVERAGE)
     for single_row in (
         campaign_summary(tables.campaigns, tables.donations, params),
