@@ -13,8 +13,7 @@ def keep_listed(
 ) -> DataFrame:
     """Rows of the listed donors; all rows if there is no list or it has no rows.
 
-    With ``nonempty`` the caller vouches for the list. The plain semi-join used then can be moved
-    below aggregations by the optimizer, which pays for short lists.
+    With ``nonempty`` the caller vouches for the list, and a plain semi-join does.
     """
     if donor_ids is None:
         return rows

@@ -69,15 +69,16 @@ def donor_export(
     """All columns of ``EXPORT_COLUMNS`` for all donors, or for those in ``donor_ids``.
 
     An empty id list means all donors. With ``ids_nonempty`` the caller vouches that it has rows,
-    and gifts and contacts of other donors are left out early. ``strict`` stops on donors with
-    several notes or several default links; otherwise the first one counts.
+    and the gifts of other donors are dropped right after the scan; this pays for lists that are
+    short next to the donations. ``strict`` stops on donors with several notes or several default
+    links; otherwise the first one counts.
     """
     donors = keep_listed(tables.donors, donor_ids, ids_nonempty)
-    history = giving_history(tables.donations, params)
-    labels = gift_labels(tables.donations, gift_purposes(tables))
+    own_gifts = tables.donations
     if ids_nonempty:
-        history = keep_listed(history, donor_ids, nonempty=True)
-        labels = keep_listed(labels, donor_ids, nonempty=True)
+        own_gifts = keep_listed(own_gifts, donor_ids, nonempty=True)
+    history = giving_history(own_gifts, params)
+    labels = gift_labels(own_gifts, gift_purposes(tables))
 
     # These four share the layout by donor; the frames after them are single rows.
     contacts = contact_block(donors, tables, params, strict)
