@@ -10,6 +10,11 @@ def capped(value: Column, length: int) -> Column:
     return F.left(value, F.lit(length))
 
 
+def comparable(value: Column, ignore_case: bool) -> Column:
+    """A text as it takes part in comparisons and groups."""
+    return F.lower(F.rtrim(value)) if ignore_case else value
+
+
 def sorted_join(value: str, separator: str) -> Column:
     """Texts of a group joined in text order; NULLs are skipped, and NULL if none is left."""
     return F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {value})")

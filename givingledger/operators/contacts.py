@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from givingledger.functions.text import blank_if_null
+from givingledger.functions.text import blank_if_null, comparable
 from givingledger.operators.joins import lookup
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
@@ -95,7 +95,10 @@ def with_email(resolved: DataFrame, tables: DonorTables) -> DataFrame:
 
 def donor_advised_fund(params: ExportParams, strict: bool = True) -> Column:
     """Own flag, or default parent's organization type, or its class. Unknown counts as no."""
-    organization = F.col("OrganizationType") == F.lit(params.daf_organization_type)
+    wanted = F.lit(params.daf_organization_type).cast("string")
+    organization = comparable(F.col("OrganizationType"), params.ignore_case) == comparable(
+        wanted, params.ignore_case
+    )
     parent_class = F.col("ParentSystemClassID") == F.lit(params.daf_class_id).cast("int")
     flag = F.coalesce(F.col("IsDonorAdvisedFund") | organization | parent_class, F.lit(False))
     if not strict:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from givingledger.functions.money import two_decimals
-from givingledger.functions.text import capped, sorted_join
+from givingledger.functions.text import capped, comparable, sorted_join
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
 
@@ -22,12 +22,18 @@ SHORTEST_LEVEL = len("$0.00|")
 SHORTEST_TITLED_LEVEL = len(":0.00 | ")
 
 
-def title_totals(donations: DataFrame, purposes: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+Purposes = dict[str, tuple[str, DataFrame]]
+
+
+def title_totals(
+    donations: DataFrame, purposes: Purposes, ignore_case: bool = False
+) -> DataFrame:
     """What each donor gave per purpose (campaign, fund, appeal) and title.
 
     ``purposes`` maps a purpose to the id column it uses and the table that gives ids a title.
     The donations are read once for all purposes. Gifts are summed per donor and id before titles
-    are looked up, so the join carries sums and not gifts. Equal titles add up.
+    are looked up, so the join carries sums and not gifts. Equal titles add up; of titles that
+    differ in case only, the first in text order is shown.
     """
     tagged_ids = [
         F.struct(F.lit(name).alias("Purpose"), F.col(key).alias("ID"))
@@ -48,23 +54,26 @@ def title_totals(donations: DataFrame, purposes: dict[str, tuple[str, DataFrame]
             for name, (key, table) in purposes.items()
         ],
     )
-    return (
-        per_id.join(titles, ["Purpose", "ID"])
-        .groupBy(DONOR, "Purpose", "Title")
-        .agg(F.sum("Donated").alias("Donated"))
-    )
+    titled = per_id.join(titles, ["Purpose", "ID"])
+    donated = F.sum("Donated").alias("Donated")
+    if not ignore_case:
+        return titled.groupBy(DONOR, "Purpose", "Title").agg(donated)
+    shared = comparable(F.col("Title"), ignore_case).alias("Shared")
+    return titled.groupBy(DONOR, "Purpose", shared).agg(F.min("Title").alias("Title"), donated)
 
 
-def gift_labels(donations: DataFrame, purposes: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+def gift_labels(
+    donations: DataFrame, purposes: Purposes, ignore_case: bool = False
+) -> DataFrame:
     """One row per donor, one text column per purpose: ``Title ($Sum)`` in text order."""
     label = F.concat(F.col("Title"), F.lit(" ($"), F.expr(two_decimals("Donated")), F.lit(")"))
-    labels = title_totals(donations, purposes).withColumn("Label", label)
+    labels = title_totals(donations, purposes, ignore_case).withColumn("Label", label)
     for name in purposes:
         labels = labels.withColumn(name, F.when(F.col("Purpose") == name, F.col("Label")))
     return labels.groupBy(DONOR).agg(*[sorted_join(f"`{n}`", SEPARATOR).alias(n) for n in purposes])
 
 
-def gift_purposes(tables: DonorTables) -> dict[str, tuple[str, DataFrame]]:
+def gift_purposes(tables: DonorTables) -> Purposes:
     return {
         "Campaigns": ("DonationCampaignID", tables.campaigns),
         "Funds": ("FundID", tables.funds),

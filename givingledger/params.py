@@ -19,7 +19,10 @@ def normalise_id(value: Any) -> Any:
 
 @dataclass(frozen=True)
 class ExportParams:
-    """Everything a caller chooses. ``as_of`` stands for the clock, so that reruns agree."""
+    """Everything a caller chooses. ``as_of`` stands for the clock, so that reruns agree.
+
+    ``ignore_case`` is about titles and organization types; ids never depend on case.
+    """
 
     fiscal_start: datetime
     as_of: datetime
@@ -35,6 +38,7 @@ class ExportParams:
     daf_class_id: int | None = None
     daf_organization_type: str | None = None
     include_top_average_sentence: bool = False
+    ignore_case: bool = False
 
     def __post_init__(self) -> None:
         for field in fields(self):

@@ -78,7 +78,7 @@ def donor_export(
     if ids_nonempty:
         own_gifts = keep_listed(own_gifts, donor_ids, nonempty=True)
     history = giving_history(own_gifts, params)
-    labels = gift_labels(own_gifts, gift_purposes(tables))
+    labels = gift_labels(own_gifts, gift_purposes(tables), params.ignore_case)
 
     # These four share the layout by donor; the frames after them are single rows.
     contacts = contact_block(donors, tables, params, strict)

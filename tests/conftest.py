@@ -10,9 +10,12 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
+from givingledger.settings import SESSION_SETTINGS  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark():
-    session = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .appName("givingledger-tests")
         .config("spark.ui.enabled", "false")
@@ -20,8 +23,10 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.driver.memory", "4g")
-        .getOrCreate()
     )
+    for key, value in SESSION_SETTINGS.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -166,6 +166,21 @@ def test_equal_titles_add_up(spark):
     assert labels(spark, gifts, campaigns=campaigns)["Campaigns"] == "Gala ($12.00)"
 
 
+def test_titles_may_ignore_case(spark):
+    gifts = [gift(5, FundID="f1"), gift(7, FundID="f2"), gift(1, FundID="f3")]
+    funds = [
+        {"FundID": "f1", "Title": "roof"},
+        {"FundID": "f2", "Title": "Roof "},
+        {"FundID": "f3", "Title": "Books"},
+    ]
+    tables = make_tables(spark, donations=gifts, funds=funds)
+    purposes = {"Funds": ("FundID", tables.funds)}
+    exact = gift_labels(tables.donations, purposes).first()
+    assert exact.Funds == "Books ($1.00), Roof  ($7.00), roof ($5.00)"
+    folded = gift_labels(tables.donations, purposes, ignore_case=True).first()
+    assert folded.Funds == "Books ($1.00), Roof  ($12.00)"
+
+
 def test_labels_are_sorted_and_skip_unknown_titles(spark):
     gifts = [
         gift(1, FundID="f1", DonationAppealID="p"),

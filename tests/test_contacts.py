@@ -130,6 +130,8 @@ def test_equal_addresses_give_one_row_and_different_ones_two(spark):
         (None, [LINK | {"IsDefault": False}], {"daf_class_id": 4}, False),
         (None, [LINK | {"ParentSystemClassID": None}], {}, False),
         (None, [LINK], {"daf_organization_type": "Fund"}, True),
+        (None, [LINK], {"daf_organization_type": "fund"}, False),
+        (None, [LINK], {"daf_organization_type": "fund ", "ignore_case": True}, True),
         (None, [LINK | {"ParentID": "other"}], {"daf_organization_type": "Fund"}, False),
     ],
 )

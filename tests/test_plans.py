@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from givingledger.operators.giving import donor_rollup, giving_history
 from givingledger.operators.joins import lookup
+from givingledger.operators.labels import title_totals
 from givingledger.operators.peers import peer_averages
 from givingledger.plans.catalog import SAMPLE_PARAMS, catalog
 from givingledger.sources.sample_views import donor_tables
@@ -142,6 +143,25 @@ def test_frequent_keys_are_split(spark, hot):
         assert parts < 100_000
 
 
+def test_gifts_to_one_fund_are_split(spark):
+    values = {
+        **NO_BROADCAST,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    with settings(spark, values):
+        gifts = spark.range(0, 300_000, 1, 8).selectExpr(
+            "id AS DonorProfileID",
+            "CAST(1 AS decimal(19,4)) AS Amount",
+            "CASE WHEN id % 3 > 0 THEN 0 ELSE id % 2000 END AS FundID",
+        )
+        funds = spark.range(2000).selectExpr("id AS FundID", "concat('Fund ', id) AS Title")
+        totals = title_totals(gifts, {"Funds": ("FundID", funds)})
+        assert totals.groupBy().sum("Donated").first()[0] == 300_000
+        assert "skew=true" in executed(totals)
+
+
 def test_one_donor_with_most_gifts(spark):
     """History rows of a donor are bounded by years and windows, however many gifts there are."""
     gifts = spark.range(100_000).selectExpr(
