@@ -37,7 +37,7 @@ YEARS_BACK = {
 ALL_DONOR_AVERAGE = "Average Donation All Donors Previous FY"
 TOP_DONOR_AVERAGE = "Average Donation Top Donors Previous FY"
 
-# Output columns a later step of the letter pipeline fills in; emitted as ''.
+# Output columns that a later step fills in; emitted as ''.
 EMPTY_TEXT_COLUMNS = (
     "SmartTextForRoles",
     "AllSmartRoles",

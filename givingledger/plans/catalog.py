@@ -9,7 +9,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from givingledger.names import ALL_DONOR_AVERAGE, EMPTY_TEXT_COLUMNS, TOP_DONOR_AVERAGE, ZERO_COLUMNS
+from givingledger.names import (
+    ALL_DONOR_AVERAGE,
+    EMPTY_TEXT_COLUMNS,
+    TOP_DONOR_AVERAGE,
+    ZERO_COLUMNS,
+)
 from givingledger.operators import contacts, giving, labels, peers
 from givingledger.operators.campaign import campaign_columns, campaign_summary
 from givingledger.operators.donations import (

@@ -69,7 +69,9 @@ def with_plain_ids(table: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, root: str, name: str, file_format: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, root: str, name: str, file_format: str = "parquet"
+) -> DataFrame:
     """One base table from ``root/name``. A stored column ``Default`` is read as ``IsDefault``."""
     reader = spark.read.format(file_format)
     if file_format == "csv":

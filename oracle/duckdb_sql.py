@@ -65,7 +65,8 @@ def percent(new: str, base: str) -> str:
 
 def half_up(total: str, count: str) -> str:
     """total / count to four decimals, for totals that are not negative."""
-    return f"(((2 * {units(total)} + {count}) // (2 * nullif({count}, 0))) / 10000.0)::DECIMAL(19,4)"
+    rounded = f"(2 * {units(total)} + {count}) // (2 * nullif({count}, 0))"
+    return f"(({rounded}) / 10000.0)::DECIMAL(19,4)"
 
 
 def named(columns: dict[str, str]) -> str:

@@ -211,7 +211,12 @@ def level(amount, title, active=True, form="t"):
 
 
 def test_giving_levels(spark):
-    levels = [level(100, None), level(25, "Friend"), level(1, "off", False), level(2, "x", True, "u")]
+    levels = [
+        level(100, None),
+        level(25, "Friend"),
+        level(1, "off", False),
+        level(2, "x", True, "u"),
+    ]
     row = giving_levels(frame(spark, "giving_levels", levels), params(giving_template_id="T"))
     assert row.first().asDict() == {
         "GivingLevels": "$25.00|$100.00|",
