@@ -64,7 +64,7 @@ def phrase_places() -> Column:
         ELSE CAST(array() AS array<struct<place:int,label:string>>) END""")
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.9) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.95) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and blocks: (line, label, share) matches."""
     spark = docs.sparkSession
     lowered = docs.select("doc_id", lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))

@@ -186,7 +186,7 @@ def find_spans(text: str, kinds: list[str], patterns: dict[str, re.Pattern], ord
 
 
 def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """docs with spans (start, end, kind), by start and then in the order of the rules."""
+    """docs with _spans (start, stop, kind), by start and then in the order of the rules."""
     columns = [c for c in docs.columns if c not in ("_key", "_rules", "_spans")]
     keyed = docs.select(*columns, document_key().alias("_key"))
     found = written(candidates(keyed.select(F.col("_key").alias("key"), F.col("text").cast("string")), rules), "candidates")
@@ -200,19 +200,19 @@ def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
         order = {kind: i for i, kind in enumerate(rules)}
         for batch in batches:
             rows = [
-                [{"start": s, "end": e, "kind": k} for s, _, k, e in find_spans(text or "", [*always, *(kinds or [])], patterns, order)]
+                [{"start": s, "stop": e, "kind": k} for s, _, k, e in find_spans(text or "", [*always, *(kinds or [])], patterns, order)]
                 for text, kinds in zip(batch.column("text").to_pylist(), batch.column("_rules").to_pylist(), strict=True)]
-            spans = pa.array(rows, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])))
+            spans = pa.array(rows, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())])))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], spans], names=[*columns, "_spans"])
 
-    result = docs.select(*columns).schema.add("_spans", "array<struct<start:bigint,end:bigint,kind:string>>")
+    result = docs.select(*columns).schema.add("_spans", "array<struct<start:bigint,stop:bigint,kind:string>>")
     return joined.mapInArrow(search, result)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans per document."""
     found = scan(docs.select("doc_id", F.col("text").cast("string")))
-    of = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
     base = F.filter("_spans", lambda s: s["kind"].isin(list(BASE)))
     counts = [F.size(F.filter("_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(F.encode(of(base), "UTF-8"), 256).alias("base_sha256"), of(F.col("_spans")).alias("spans"))
@@ -226,7 +226,7 @@ def masked(text: str | None, spans: list[dict], mask: str) -> str | None:
     for span in spans:
         if span["start"] >= done:
             parts += [text[done : span["start"]], mask]
-        done = max(done, span["end"])
+        done = max(done, span["stop"])
     return "".join([*parts, text[done:]])
 
 

@@ -9,7 +9,8 @@ Null and empty texts are documents of the end id alone. Repeated rows are writte
 read back as null. An empty table gives no shard. Very long texts are encoded in whole, piece by piece.
 
 A byte-level vocabulary splits text at blanks before any merge, so equal pieces have equal ids wherever they stand; the
-tokenizer encodes each distinct piece once and texts are put together from them. `tests` compare with whole-text encoding.
+tokenizer encodes each distinct piece once and texts are put together from them. A text that names a special token is encoded
+in one go, as such names are found before the split.
 """
 
 from __future__ import annotations
@@ -42,11 +43,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype, self.end, self.known = dtype, np.array([end_id], dtype=dtype).tobytes(), {}
 
     def encode(self, text: str | None) -> bytes:
-        pieces = PIECES.findall(text or "")
+        text = text or ""
+        if any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes() + self.end
+        pieces = PIECES.findall(text)
         new = list(set(pieces).difference(self.known))
         if new:
             if len(self.known) + len(new) > CACHED:
