@@ -21,12 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from givingledger.llm.common import written
 from givingledger.llm.shingles import blocks
 
 MAX_BROADCAST = 1_000_000
 MOST_STRINGS = 16
+SPANS = "_spans array<struct<start:bigint,stop:bigint,kind:string>>"
 
 # The three base rules, in their order.
 BASE = {
@@ -205,7 +207,7 @@ def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
             spans = pa.array(rows, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())])))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], spans], names=[*columns, "_spans"])
 
-    result = docs.select(*columns).schema.add("_spans", "array<struct<start:bigint,stop:bigint,kind:string>>")
+    result = docs.select(*columns).schema.add("_spans", StructType.fromDDL(SPANS)["_spans"].dataType)
     return joined.mapInArrow(search, result)
 
 
