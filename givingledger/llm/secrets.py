@@ -216,7 +216,7 @@ def report(docs: DataFrame) -> DataFrame:
     found = scan(docs.select("doc_id", F.col("text").cast("string")))
     of = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
     base = F.filter("_spans", lambda s: s["kind"].isin(list(BASE)))
-    counts = [F.size(F.filter("_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    counts = [F.expr(f"CAST(size(filter(_spans, s -> s.kind = '{kind}')) AS BIGINT) AS n_{kind}") for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(F.encode(of(base), "UTF-8"), 256).alias("base_sha256"), of(F.col("_spans")).alias("spans"))
 
 
