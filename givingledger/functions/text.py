@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def capped(value: Column, length: int) -> Column:
-    return F.left(value, F.lit(length))
-
-
 def comparable(value: Column, ignore_case: bool) -> Column:
     """A text as it takes part in comparisons and groups."""
     return F.lower(F.rtrim(value)) if ignore_case else value

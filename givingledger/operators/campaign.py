@@ -6,11 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from givingledger.functions.money import whole_dollars
-from givingledger.functions.text import capped
 from givingledger.names import DONATION_FORM_PATH, LINK_CLOSE, LINK_OPEN
-from givingledger.params import TEXT_CAP, ExportParams
-
-URL_CAP = 250
+from givingledger.params import ExportParams
 
 
 def campaign_summary(
@@ -22,7 +19,7 @@ def campaign_summary(
         campaigns.filter(is_campaign)
         .agg(F.max(F.struct("Title", "GoalAmount")).alias("Campaign"))
         .select(
-            capped(F.col("Campaign.Title"), TEXT_CAP).alias("CampaignTitle"),
+            F.col("Campaign.Title").alias("CampaignTitle"),
             F.col("Campaign.GoalAmount").alias("CampaignGoal"),
         )
     )
@@ -38,7 +35,7 @@ def campaign_summary(
 def donation_url(params: ExportParams) -> Column:
     """NULL if the base or the title is unknown."""
     base = F.lit(params.base_url).cast("string")
-    return capped(F.concat(base, F.lit(DONATION_FORM_PATH), F.col("CampaignTitle")), URL_CAP)
+    return F.concat(base, F.lit(DONATION_FORM_PATH), F.col("CampaignTitle"))
 
 
 def campaign_columns(params: ExportParams) -> dict[str, Column]:

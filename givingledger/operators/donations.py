@@ -20,12 +20,12 @@ def donations_in_window(donations: DataFrame, window: FiscalWindow) -> DataFrame
 
 
 def window_activity(donations: DataFrame, calendar: FiscalCalendar) -> DataFrame:
-    """The fiscal windows that hold gifts, with bounds and label, and what was given in each."""
+    """All fiscal windows with bounds and label, and what was given in each; 0 where nothing was."""
     tagged = donations.select(
         calendar.years_back("DonatedOn").alias("YearsBack"), "Amount"
     ).filter(F.col("YearsBack").isNotNull())
     totals = tagged.groupBy("YearsBack").agg(
-        F.count(F.lit(1)).alias("Gifts"), F.sum("Amount").cast(TOTAL).alias("Donated")
+        F.count(F.lit(1)).alias("Gifts"), F.sum("Amount").alias("Donated")
     )
     number = F.col("YearsBack")
     described = [
@@ -34,13 +34,15 @@ def window_activity(donations: DataFrame, calendar: FiscalCalendar) -> DataFrame
             *[(str(w.start), str(w.end), w.label) for w in calendar.windows], strict=True
         )
     ]
-    return totals.select(
+    count = len(calendar.windows)
+    windows = donations.sparkSession.range(count).select(F.col("id").cast("int").alias("YearsBack"))
+    return windows.join(totals, "YearsBack", "left").select(
         "YearsBack",
         described[0].cast("timestamp_ntz").alias("WindowStart"),
         described[1].cast("timestamp_ntz").alias("WindowEnd"),
         described[2].alias("Label"),
-        "Gifts",
-        "Donated",
+        F.coalesce("Gifts", F.lit(0)).alias("Gifts"),
+        F.coalesce("Donated", F.lit(0)).cast(TOTAL).alias("Donated"),
     )
 
 

@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from givingledger.sources.donor_ids import plain_id
 
 DONOR = "DonorProfileID"
 
 
-def keep_listed(
-    rows: DataFrame, donor_ids: DataFrame | None, nonempty: bool = False
-) -> DataFrame:
+def keep_listed(rows: DataFrame, donor_ids: DataFrame | None) -> DataFrame:
     """Rows of the listed donors; all rows if there is no list or it has no rows.
 
-    With ``nonempty`` the caller vouches for the list, and a plain semi-join does.
+    Listed ids that are text match without regard to case and blanks around them. A NULL in the
+    list matches nobody, and a list of NULLs only keeps nobody.
     """
     if donor_ids is None:
         return rows
-    listed = donor_ids.select(F.col("ProfileID").alias(DONOR))
-    if nonempty:
-        return rows.join(listed, DONOR, "left_semi")
+    listed = F.col("ProfileID")
+    if isinstance(donor_ids.schema["ProfileID"].dataType, StringType):
+        listed = plain_id(listed)
     list_size = donor_ids.limit(1).agg(F.count(F.lit(1)).alias("ListSize"))
-    matched = listed.distinct().withColumn("Listed", F.lit(True))
+    matched = donor_ids.select(listed.alias(DONOR)).distinct().withColumn("Listed", F.lit(True))
     return (
         rows.crossJoin(F.broadcast(list_size))  # always one row
         .join(matched, DONOR, "left")

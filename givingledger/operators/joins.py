@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNKNOWN_KEY_GROUPS = 1024
-
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, *spread_by: str) -> DataFrame:
     """Left join of ``table`` by ``key``.
@@ -16,7 +14,7 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, *spread_by: str) -> Data
     ``table`` for this join even if it is laid out by ``key`` already, and only between two
     shuffles does adaptive execution split a frequent key over several tasks.
     """
-    group = F.pmod(F.hash(*spread_by), F.lit(UNKNOWN_KEY_GROUPS))
+    group = F.hash(*spread_by)
     grouped_rows = rows.withColumn("_Group", F.when(F.col(key).isNull(), group).otherwise(0))
     # Always 0, in a form that the optimizer does not fold into a constant.
     grouped_table = table.withColumn("_Group", F.pmod(F.hash(key), F.lit(1)))

@@ -4,24 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from givingledger.functions.money import two_decimals
-from givingledger.functions.text import capped, comparable, sorted_join
+from givingledger.functions.text import comparable, sorted_join
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
 
 DONOR = "DonorProfileID"
 SEPARATOR = ", "
 
-LEVEL_TEXT_CAP = 100
-LEVEL_TITLE_TEXT_CAP = 500
-# Shorter levels do not exist, so a text of the capped length never needs more levels than this.
-SHORTEST_LEVEL = len("$0.00|")
-SHORTEST_TITLED_LEVEL = len(":0.00 | ")
-
-
 Purposes = dict[str, tuple[str, DataFrame]]
 
 
@@ -82,33 +75,24 @@ def gift_purposes(tables: DonorTables) -> Purposes:
 
 
 def giving_levels(levels: DataFrame, params: ExportParams) -> DataFrame:
-    """One row: the active levels of a form by amount, without and with titles, cut to length.
+    """One row per form with active levels: the levels by amount, without and with titles.
 
-    Only the smallest levels can show up in a text of limited length; no others are brought
-    together.
+    A form in the parameters limits the rows to it. A form's levels are one text, as long as it has
+    levels; nothing is brought together beyond one form.
     """
-    active = levels.filter(F.col("Active")).filter(
-        F.col("DonationTemplateID") == F.lit(params.giving_template_id)
-    )
+    active = levels.filter(F.col("Active") & F.col("DonationTemplateID").isNotNull())
+    if params.giving_template_id is not None:
+        active = active.filter(F.col("DonationTemplateID") == F.lit(params.giving_template_id))
     amount = F.expr(two_decimals("Amount"))
-    plain = F.concat(F.lit("$"), amount, F.lit("|"))
-    titled = F.concat(F.col("Title"), F.lit(":"), amount, F.lit(" | "))
-    plain_text = _joined_levels(active, plain, SHORTEST_LEVEL, LEVEL_TEXT_CAP, "GivingLevels")
-    titled_text = _joined_levels(
-        active, titled, SHORTEST_TITLED_LEVEL, LEVEL_TITLE_TEXT_CAP, "GivingLevelsWithTitles"
+    labelled = active.select(
+        "DonationTemplateID",
+        "Amount",
+        F.concat(F.lit("$"), amount, F.lit("|")).alias("Plain"),
+        F.concat(F.col("Title"), F.lit(":"), amount, F.lit(" | ")).alias("Titled"),
     )
-    return plain_text.crossJoin(F.broadcast(titled_text))  # one row each
-
-
-def _joined_levels(
-    active: DataFrame, label: Column, shortest: int, cap: int, name: str
-) -> DataFrame:
-    enough = cap // shortest + 1
-    smallest = (
-        active.select("Amount", label.alias("Label"))
-        .filter(F.col("Label").isNotNull())
-        .orderBy("Amount", "Label")
-        .limit(enough)
+    return labelled.groupBy("DonationTemplateID").agg(
+        F.expr("listagg(Plain, '') WITHIN GROUP (ORDER BY Amount, Plain)").alias("GivingLevels"),
+        F.expr("listagg(Titled, '') WITHIN GROUP (ORDER BY Amount, Titled)").alias(
+            "GivingLevelsWithTitles"
+        ),
     )
-    text = F.expr("listagg(Label, '') WITHIN GROUP (ORDER BY Amount, Label)")
-    return smallest.agg(capped(text, cap).alias(name))

@@ -9,8 +9,6 @@ from typing import Any
 from givingledger.functions.fiscal import FiscalCalendar
 from givingledger.names import NIL_GUID
 
-TEXT_CAP = 100
-
 
 def normalise_id(value: Any) -> Any:
     """Ids compare without regard to case; ids of other types are left alone."""
@@ -45,8 +43,6 @@ class ExportParams:
             value = getattr(self, field.name)
             if field.name.endswith("_id"):
                 object.__setattr__(self, field.name, normalise_id(value))
-            elif isinstance(value, str):
-                object.__setattr__(self, field.name, value[:TEXT_CAP])
         if self.average_campaign_id == NIL_GUID:
             object.__setattr__(self, "average_campaign_id", None)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,13 @@ from givingledger.sources.donor_ids import donor_ids_from_documents
 from givingledger.sources.sample_views import (
     ID_DOCUMENTS,
     LISTED_DONORS,
+    LISTED_TEXT_DONORS,
+    NO_DONORS,
+    TEXT_DONORS,
     donor_tables,
     sample_query,
 )
-from givingledger.sources.tables import DonorTables
+from givingledger.sources.tables import SCHEMAS, DonorTables, table_schema
 
 DONOR = "DonorProfileID"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,20 +90,37 @@ def _giving(columns: Callable[[ExportParams], dict[str, str]]) -> Query:
 
 def _scan_donor_base(tables: DonorTables, params: ExportParams) -> DataFrame:
     columns = {**parameter_columns(params), **current_date_column(params)}
-    return _pick(tables.donors, columns)
+    return tables.donors.select("*", *named(columns))
 
 
-def _donor_filter(empty: bool, nonempty: bool = False) -> Query:
+def _donor_filter(listed: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        ids = sample_query(spark, folder, LISTED_DONORS)
-        if empty:
-            ids = ids.filter(F.lit(False))
+        ids = sample_query(spark, folder, listed)
         donors = donor_tables(spark, folder).donors
-        return keep_listed(donors, ids, nonempty).select(DONOR, "CalculatedGivingName")
+        return keep_listed(donors, ids).select(DONOR, "CalculatedGivingName")
 
     return run
 
 
+def _text_key_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Donors told apart by text, and a list in upper case with blanks around."""
+    donors = sample_query(spark, folder, TEXT_DONORS)
+    return keep_listed(donors, sample_query(spark, folder, LISTED_TEXT_DONORS))
+
+
+def _table_counts(tables: DonorTables, params: ExportParams) -> DataFrame:
+    """Rows and known first ids of each base table."""
+    counts = [
+        getattr(tables, name).agg(
+            F.lit(name).alias("TableName"),
+            F.count(F.lit(1)).alias("Rows"),
+            F.count(table_schema(name).names[0]).alias("KnownIDs"),
+        )
+        for name in SCHEMAS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _id_list(spark: SparkSession, folder: str) -> DataFrame:
     documents = sample_query(spark, folder, ID_DOCUMENTS)
     return donor_ids_from_documents(documents, "Document", id_type="bigint")
@@ -107,7 +128,7 @@ def _id_list(spark: SparkSession, folder: str) -> DataFrame:
 
 def _listed_export(spark: SparkSession, folder: str) -> DataFrame:
     ids = sample_query(spark, folder, LISTED_DONORS)
-    return donor_export(donor_tables(spark, folder), SAMPLE_PARAMS, ids, ids_nonempty=True)
+    return donor_export(donor_tables(spark, folder), SAMPLE_PARAMS, ids)
 
 
 def _labels(purpose: str) -> Query:
@@ -178,9 +199,11 @@ def catalog() -> dict[str, Query]:
     return {
         "scan_donor_base": _query(_scan_donor_base),
         "donor_id_list_xml": _id_list,
-        "donor_filter_by_ids": _donor_filter(empty=False),
-        "donor_filter_by_ids_nonempty": _donor_filter(empty=False, nonempty=True),
-        "donor_filter_empty_list": _donor_filter(empty=True),
+        "scan_table_counts": _query(_table_counts),
+        "donor_filter_by_ids": _donor_filter(LISTED_DONORS),
+        "donor_filter_by_ids_nonempty": _donor_filter(LISTED_DONORS),
+        "donor_filter_empty_list": _donor_filter(NO_DONORS),
+        "donor_filter_text_keys": _text_key_filter,
         "valued_donations": _query(
             lambda t, p: valued_donations(t.donations).select(
                 DONOR, "DonatedOn", "Amount", "IsStock", "InKind", "ValuedAmount"
@@ -244,7 +267,10 @@ def catalog() -> dict[str, Query]:
         "donor_funds": _labels("Funds"),
         "donor_appeals": _labels("Appeals"),
         "donor_notes": _query(_notes),
-        "giving_levels": _query(lambda t, p: labels.giving_levels(t.giving_levels, p)),
+        "giving_levels": _query(
+            lambda t, p: labels.giving_levels(t.giving_levels, p), giving_template_id=None
+        ),
+        "giving_levels_of_form": _query(lambda t, p: labels.giving_levels(t.giving_levels, p)),
         "export_placeholders": _query(
             lambda t, p: _pick(t.donors, placeholder_columns()).select(
                 DONOR, *EMPTY_TEXT_COLUMNS, *ZERO_COLUMNS

@@ -63,20 +63,16 @@ def donor_export(
     tables: DonorTables,
     params: ExportParams,
     donor_ids: DataFrame | None = None,
-    ids_nonempty: bool = False,
     strict: bool = True,
 ) -> DataFrame:
     """All columns of ``EXPORT_COLUMNS`` for all donors, or for those in ``donor_ids``.
 
-    An empty id list means all donors. With ``ids_nonempty`` the caller vouches that it has rows,
-    and the gifts of other donors are dropped right after the scan; this pays for lists that are
-    short next to the donations. ``strict`` stops on donors with several notes or several default
+    An empty id list means all donors. With a list, the gifts of other donors are dropped before
+    the rollup. ``strict`` stops on donors with several notes or several default
     links; otherwise the first one counts.
     """
-    donors = keep_listed(tables.donors, donor_ids, ids_nonempty)
-    own_gifts = tables.donations
-    if ids_nonempty:
-        own_gifts = keep_listed(own_gifts, donor_ids, nonempty=True)
+    donors = keep_listed(tables.donors, donor_ids)
+    own_gifts = keep_listed(tables.donations, donor_ids)
     history = giving_history(own_gifts, params)
     labels = gift_labels(own_gifts, gift_purposes(tables), params.ignore_case)
 

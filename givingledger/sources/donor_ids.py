@@ -5,25 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-GUID_PATH = "/GuidList/Guid/text()"
+ROOT = "GuidList"
+ELEMENTS = "Guid array<string>"
 
 
 def donor_ids_from_documents(documents: DataFrame, xml: str, id_type: str = "string") -> DataFrame:
-    """One ``ProfileID`` row per Guid element of a column of GuidList documents.
+    """One ``ProfileID`` row per ``/GuidList/Guid`` element of a column of documents.
 
-    NULL documents give no rows.
+    An empty element gives a NULL, so a document that has elements never counts as an empty list.
+    NULL documents, and documents with another root, give no rows.
     """
-    found = documents.select(F.explode(F.xpath(xml, F.lit(GUID_PATH))).alias("ProfileID"))
-    return found.select(_plain_id(F.col("ProfileID")).cast(id_type).alias("ProfileID"))
+    lists = documents.filter(F.xpath_boolean(xml, F.lit(f"/{ROOT}")))
+    return _elements(lists.select(F.from_xml(xml, ELEMENTS).alias("List")), id_type)
 
 
 def read_donor_ids(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
-    """The same from XML files, read in splits by element."""
-    elements = (
-        spark.read.format("xml").option("rowTag", "Guid").schema("_VALUE string").load(path)
-    )
-    return elements.select(_plain_id(F.col("_VALUE")).cast(id_type).alias("ProfileID"))
+    """The same from XML files."""
+    lists = spark.read.format("xml").option("rowTag", ROOT).schema(ELEMENTS).load(path)
+    return _elements(lists.select(F.struct("Guid").alias("List")), id_type)
 
 
-def _plain_id(value: Column) -> Column:
+def plain_id(value: Column) -> Column:
+    """Id text as it is compared: trimmed and in lower case."""
     return F.lower(F.trim(value))
+
+
+def _elements(lists: DataFrame, id_type: str) -> DataFrame:
+    found = lists.select(F.explode("List.Guid").alias("ProfileID"))
+    known = F.nullif(plain_id(F.col("ProfileID")), F.lit(""))
+    return found.select(known.cast(id_type).alias("ProfileID"))

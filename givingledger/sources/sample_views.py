@@ -110,13 +110,20 @@ SAMPLE_VIEWS = {
         FROM {documents} JOIN {orders} ON doc_id = o_orderkey""",
     "users": "SELECT s_suppkey AS UserID, s_name AS UserName FROM {supplier}",
     "giving_levels": """
-        SELECT p_size AS DonationTemplateID, CAST(p_retailprice AS DECIMAL(19,4)) AS Amount,
+        SELECT CAST(floor(p_partkey / 8) AS BIGINT) AS DonationTemplateID, CAST(p_retailprice AS DECIMAL(19,4)) AS Amount,
           CASE WHEN p_partkey % 4 <> 3 THEN p_brand END AS Title, p_partkey % 3 <> 0 AS Active
         FROM {part}""",
 }
 
 # Donors of one market segment, as an id list; and the same ids wrapped in XML, next to one more.
 LISTED_DONORS = "SELECT c_custkey AS ProfileID FROM {customer} WHERE c_mktsegment = 'BUILDING'"
+# A list that turns out to be empty when the data are read, and donors with text for keys.
+NO_DONORS = "SELECT c_custkey AS ProfileID FROM {customer} WHERE c_acctbal > 1000000"
+TEXT_DONORS = """
+    SELECT lower(c_name) AS DonorProfileID, c_name AS CalculatedGivingName FROM {customer}"""
+LISTED_TEXT_DONORS = """
+    SELECT '  ' || upper(c_name) || ' ' AS ProfileID FROM {customer}
+    WHERE c_mktsegment = 'BUILDING'"""
 ID_DOCUMENTS = """
     SELECT CASE WHEN o_orderkey % 10 <> 0 THEN '<GuidList><Guid>' || CAST(o_custkey AS STRING)
       || '</Guid><Guid> ' || CAST(o_orderkey AS STRING) || ' </Guid></GuidList>' END AS Document

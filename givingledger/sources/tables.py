@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from givingledger.functions.money import MONEY
+from givingledger.sources.donor_ids import plain_id
 
 # Only the columns the export uses. Columns ending in ID (and CreatedBy) hold GUID text.
 SCHEMAS = {
@@ -60,7 +61,7 @@ def with_plain_ids(table: DataFrame) -> DataFrame:
     """GUID text trimmed and in lower case, so that equality ignores case."""
     return table.select(
         *[
-            F.lower(F.trim(field.name)).alias(field.name)
+            plain_id(F.col(field.name)).alias(field.name)
             if isinstance(field.dataType, StringType)
             and (field.name.endswith("ID") or field.name == "CreatedBy")
             else F.col(field.name)
@@ -69,21 +70,36 @@ def with_plain_ids(table: DataFrame) -> DataFrame:
     )
 
 
-def read_table(
+def read_raw_table(
     spark: SparkSession, root: str, name: str, file_format: str = "parquet"
 ) -> DataFrame:
-    """One base table from ``root/name``. A stored column ``Default`` is read as ``IsDefault``."""
+    """One base table as it comes, from ``root/name``, with ids made plain.
+
+    Columns are found by name, in any order and among others; a missing one is an error. A stored
+    column ``Default`` is read as ``IsDefault``.
+    """
     reader = spark.read.format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True)
-    schema = table_schema(name)
-    stored = StructType.fromDDL(SCHEMAS[name].replace("IsDefault", "Default"))
-    if "IsDefault" in schema.names and "Default" in reader.load(f"{root}/{name}").columns:
-        return with_plain_ids(
-            reader.schema(stored).load(f"{root}/{name}").withColumnRenamed("Default", "IsDefault")
-        )
-    return with_plain_ids(reader.schema(schema).load(f"{root}/{name}"))
+    stored = reader.load(f"{root}/{name}")
+    if "Default" in stored.columns and "IsDefault" not in stored.columns:
+        stored = stored.withColumnRenamed("Default", "IsDefault")
+    wanted = table_schema(name)
+    return with_plain_ids(
+        stored.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+    )
+
 
+def ingest_tables(
+    spark: SparkSession, source: str, target: str, file_format: str = "parquet"
+) -> None:
+    """Writes the base tables with plain ids, once, so that later reads can filter in the scan."""
+    for name in SCHEMAS:
+        read_raw_table(spark, source, name, file_format).write.parquet(f"{target}/{name}")
 
-def read_tables(spark: SparkSession, root: str, file_format: str = "parquet") -> DonorTables:
-    return DonorTables(lambda name: read_table(spark, root, name, file_format))
+
+def read_tables(spark: SparkSession, root: str) -> DonorTables:
+    """The tables that :func:`ingest_tables` wrote."""
+    return DonorTables(
+        lambda name: spark.read.schema(table_schema(name)).parquet(f"{root}/{name}")
+    )

@@ -24,6 +24,7 @@ from givingledger.sources.sample_views import (
     SAMPLE_SCHEMAS,
     SAMPLE_VIEWS,
 )
+from givingledger.sources.tables import SCHEMAS
 
 FISCAL_START = "TIMESTAMP '2001-07-01'"
 FISCAL_MONTH = 7
@@ -256,7 +257,7 @@ FROM resolved r"""
 
 
 def campaign(campaign_id: int) -> str:
-    return f"""SELECT (SELECT left(Title, 100) FROM v_campaigns
+    return f"""SELECT (SELECT Title FROM v_campaigns
     WHERE DonationCampaignID = {campaign_id}) AS CampaignTitle,
   (SELECT GoalAmount FROM v_campaigns WHERE DonationCampaignID = {campaign_id}) AS CampaignGoal,
   coalesce(sum(Amount), 0)::DOUBLE AS AmountRaised,
@@ -318,11 +319,11 @@ NOTES = """SELECT dn.DonorProfileID, n.NoteText || ' (' || u.UserName || ', '
   || strftime(n.Created, '%Y-%m-%d') || ')' AS Notes
 FROM v_donors dn LEFT JOIN v_notes n ON n.ParentID = dn.DonorProfileID
   LEFT JOIN v_users u ON u.UserID = n.CreatedBy"""
-GIVING_LEVELS = """SELECT
-  left(string_agg('$' || Amount::DECIMAL(19,2) || '|', '' ORDER BY Amount), 100) AS GivingLevels,
-  left(string_agg(Title || ':' || Amount::DECIMAL(19,2) || ' | ', '' ORDER BY Amount, Title), 500)
+GIVING_LEVELS = """SELECT DonationTemplateID,
+  string_agg('$' || Amount::DECIMAL(19,2) || '|', '' ORDER BY Amount) AS GivingLevels,
+  string_agg(Title || ':' || Amount::DECIMAL(19,2) || ' | ', '' ORDER BY Amount, Title)
     AS GivingLevelsWithTitles
-FROM v_giving_levels WHERE DonationTemplateID = 7 AND Active"""
+FROM v_giving_levels WHERE DonationTemplateID IS NOT NULL AND Active GROUP BY DonationTemplateID"""
 
 CONSTANTS = {
     "SchoolName": "'Hillside School'",
@@ -353,7 +354,12 @@ FROM (SELECT *, {named(CONSTANTS | PLACEHOLDERS)}
     JOIN note_texts USING (DonorProfileID), year_to_date, school)"""
 
 BODIES = {
-    "scan_donor_base": f"SELECT DonorProfileID, {named(CONSTANTS)} FROM v_donors",
+    "scan_donor_base": f"SELECT *, {named(CONSTANTS)} FROM v_donors",
+    "scan_table_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS TableName, count(*) AS Rows, "
+        f"count({SCHEMAS[name].split()[0]}) AS KnownIDs FROM v_{name}"
+        for name in SCHEMAS
+    ),
     "donor_id_list_xml": """
         SELECT CAST(trim(id) AS BIGINT) AS ProfileID
         FROM (SELECT unnest(regexp_extract_all(Document, '<Guid>([^<]*)</Guid>', 1)) AS id
@@ -361,6 +367,9 @@ BODIES = {
     "donor_filter_by_ids": """
         SELECT DonorProfileID, CalculatedGivingName FROM v_donors
         WHERE DonorProfileID IN (SELECT ProfileID FROM listed)""",
+    "donor_filter_text_keys": """
+        SELECT lower(c_name) AS DonorProfileID, c_name AS CalculatedGivingName FROM customer
+        WHERE c_mktsegment = 'BUILDING'""",
     "donor_filter_empty_list": "SELECT DonorProfileID, CalculatedGivingName FROM v_donors",
     "valued_donations": """
         SELECT DonorProfileID, DonatedOn, Amount, IsStock, InKind, Valued AS ValuedAmount
@@ -368,8 +377,8 @@ BODIES = {
     "donations_in_window": "SELECT DonorProfileID, DonatedOn, Amount FROM gifts WHERE k = 2",
     "fiscal_windows": f"""
         SELECT k AS YearsBack, s AS WindowStart, e AS WindowEnd, {WINDOW_LABEL} AS Label,
-          count(*) AS Gifts, sum(Amount)::{TOTAL} AS Donated
-        FROM gifts JOIN fw USING (k) GROUP BY k, s, e""",
+          count(gifts.k) AS Gifts, coalesce(sum(Amount), 0)::{TOTAL} AS Donated
+        FROM fw LEFT JOIN gifts USING (k) GROUP BY fw.k, s, e""",
     "lifetime_totals": per_donor(LIFETIME),
     "donor_status": per_donor(STATUS),
     "total_years_given": per_donor(GIVING_YEARS),
@@ -421,6 +430,9 @@ BODIES = {
     "donor_appeals": APPEAL_LABELS,
     "donor_notes": NOTES,
     "giving_levels": GIVING_LEVELS,
+    "giving_levels_of_form": GIVING_LEVELS.replace(
+        "DonationTemplateID IS NOT NULL", "DonationTemplateID = 7"
+    ),
     "export_placeholders": f"SELECT DonorProfileID, {named(PLACEHOLDERS)} FROM v_donors",
     "donor_export": EXPORT,
     "donor_export_listed": f"""

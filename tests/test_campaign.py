@@ -152,12 +152,13 @@ def test_rounding_of_whole_dollars(spark):
     assert row["DonationCampaignRemainingFromTemplate"] == "$0"
 
 
-def test_long_texts_are_cut(spark):
+def test_long_texts_stay_whole(spark):
     title = "t" * 120
     row = campaign_row(spark, [], [CAMPAIGN | {"Title": title}], base_url="u" * 200)
-    assert row["DonationCampaignTitle"] == title[:100]
-    assert row["UrlToDonationForm"] == ("u" * 100 + "/forms/donation/" + title)[:216]
-    assert params(school_name="s" * 101).school_name == "s" * 100
+    assert row["DonationCampaignTitle"] == title
+    assert row["UrlToDonationForm"] == "u" * 200 + "/forms/donation/" + title
+    assert row["UrlToDonationForm"] in row["LinkToDonationForm"]
+    assert params(school_name="s" * 101).school_name == "s" * 101
 
 
 def test_equal_titles_add_up(spark):
@@ -219,21 +220,24 @@ def test_giving_levels(spark):
     ]
     row = giving_levels(frame(spark, "giving_levels", levels), params(giving_template_id="T"))
     assert row.first().asDict() == {
+        "DonationTemplateID": "t",
         "GivingLevels": "$25.00|$100.00|",
         "GivingLevelsWithTitles": "Friend:25.00 | ",
     }
     empty = giving_levels(frame(spark, "giving_levels", []), params(giving_template_id="T"))
-    assert empty.collect() == [(None, None)]
+    assert empty.collect() == []
+    forms = giving_levels(frame(spark, "giving_levels", levels), params())
+    assert sorted(row.DonationTemplateID for row in forms.collect()) == ["t", "u"]
 
 
-def test_many_giving_levels_are_cut(spark):
+def test_many_giving_levels_stay_whole(spark):
     levels = [level(n % 10, "") for n in range(300)]
     (row,) = giving_levels(
         frame(spark, "giving_levels", levels), params(giving_template_id="t")
     ).collect()
     amounts = sorted(n % 10 for n in range(300))
-    assert row.GivingLevels == "".join(f"${a}.00|" for a in amounts)[:100]
-    assert row.GivingLevelsWithTitles == "".join(f":{a}.00 | " for a in amounts)[:500]
+    assert row.GivingLevels == "".join(f"${a}.00|" for a in amounts)
+    assert row.GivingLevelsWithTitles == "".join(f":{a}.00 | " for a in amounts)
 
 
 def test_donor_key_type_is_free(spark):

@@ -4,31 +4,35 @@ from __future__ import annotations
 
 import pytest
 from fixtures import donor, frame, gift, make_tables, params
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from givingledger.names import EMPTY_TEXT_COLUMNS, EXPORT_COLUMNS, ZERO_COLUMNS
+from givingledger.operators.campaign import campaign_summary
 from givingledger.plans.export import donor_export
 from givingledger.sources.donor_ids import donor_ids_from_documents, read_donor_ids
 from givingledger.sources.sinks import SINK_FORMATS, write_export
-from givingledger.sources.tables import SCHEMAS, read_tables, table_schema
+from givingledger.sources.tables import SCHEMAS, ingest_tables, read_raw_table, read_tables, table_schema
 
 
-def test_ids_from_documents(spark):
-    documents = spark.createDataFrame(
-        [
-            ("<GuidList><Guid> AB </Guid><Guid>cd</Guid></GuidList>",),
-            ("<GuidList></GuidList>",),
-            (None,),
-        ],
-        "Xml string",
-    )
+@pytest.mark.parametrize(
+    ("document", "expected"),
+    [
+        ("<GuidList><Guid> AB </Guid>\n<Guid>cd</Guid></GuidList>", ["ab", "cd"]),
+        ("<GuidList><Guid>one</Guid></GuidList>", ["one"]),
+        ("<GuidList></GuidList>", []),
+        ("<GuidList><Guid></Guid></GuidList>", [None]),
+        ("<Other><Guid>ab</Guid></Other>", []),
+        (None, []),
+    ],
+)
+def test_both_forms_of_id_lists_agree(spark, tmp_path, document, expected):
+    documents = spark.createDataFrame([(document,)], "Xml string")
     ids = donor_ids_from_documents(documents, "Xml")
-    assert sorted(row.ProfileID for row in ids.collect()) == ["ab", "cd"]
-
-
-def test_ids_from_files(spark, tmp_path):
-    (tmp_path / "ids.xml").write_text("<GuidList><Guid>AB</Guid>\n<Guid>cd</Guid></GuidList>")
+    assert [row.ProfileID for row in ids.collect()] == expected
+    (tmp_path / "ids.xml").write_text(document or "")
     ids = read_donor_ids(spark, str(tmp_path))
-    assert sorted(row.ProfileID for row in ids.collect()) == ["ab", "cd"]
+    assert [row.ProfileID for row in ids.collect()] == expected
 
 
 @pytest.mark.parametrize("file_format", ["parquet", "csv"])
@@ -42,8 +46,11 @@ def test_tables_round_trip(spark, tmp_path, file_format):
         table = frame(spark, name, rows.get(name, []))
         if "IsDefault" in table.columns and name != "phone_links":
             table = table.withColumnRenamed("IsDefault", "Default")
+        if table.columns[1:]:  # in another order, and with a column that the export does not use
+            table = table.select(F.lit("x").alias("Extra"), *reversed(table.columns))
         write_export(table, f"{tmp_path}/{name}", file_format)
-    tables = read_tables(spark, str(tmp_path), file_format)
+    ingest_tables(spark, str(tmp_path), f"{tmp_path}/plain", file_format)
+    tables = read_tables(spark, f"{tmp_path}/plain")
     for name in SCHEMAS:
         assert getattr(tables, name).schema.names == table_schema(name).names
     assert tables.donor_links.collect() == [("d1", "p", True, None)]
@@ -53,6 +60,22 @@ def test_tables_round_trip(spark, tmp_path, file_format):
         tables.unknown  # noqa: B018
 
 
+def test_missing_column_is_an_error(spark, tmp_path):
+    write_export(frame(spark, "users", []).drop("UserName"), f"{tmp_path}/users", "csv")
+    with pytest.raises(AnalysisException):
+        read_raw_table(spark, str(tmp_path), "users", "csv").collect()
+
+
+def test_campaign_filter_reaches_the_scan(spark, tmp_path):
+    for name in SCHEMAS:
+        frame(spark, name, []).write.parquet(f"{tmp_path}/raw/{name}")
+    ingest_tables(spark, f"{tmp_path}/raw", f"{tmp_path}/plain")
+    tables = read_tables(spark, f"{tmp_path}/plain")
+    raised = campaign_summary(tables.campaigns, tables.donations, params(campaign_id="C1"))
+    plan = raised._jdf.queryExecution().toString()
+    assert plan.count("EqualTo(DonationCampaignID,c1)") >= 2
+
+
 @pytest.mark.parametrize("file_format", SINK_FORMATS)
 def test_export_can_be_written(spark, tmp_path, file_format):
     export = donor_export(make_tables(spark, donors=[donor()]), params())
