@@ -6,9 +6,11 @@ parents to children. Sum-product messages go up and down the tree; a block whose
 belongs to the main text.
 
 Both kinds of potentials are counted on labelled pages: pages of the corpus that mark their main text themselves (`article`
-or `main`), at most about `max_pages`, chosen by hashed id; parts within them that say they are something else (navigation,
-comments, adverts) count as not content. Fixed pseudo counts stand for the usual meaning of tags and words, so that a corpus
-without such pages still gets an answer. Features are of fixed kinds, so the counts have a bounded size.
+or `main`), at most about `max_pages`, chosen by hashed id. Elements that say they are something else (by tags and class words
+of fixed meaning: navigation, comments, adverts) are observed as not content, in training and later, unless they wrap an
+`article` or `main`. Passing is counted apart for containers, where main text may begin or end, and for all that is inside
+them. Fixed pseudo counts let a corpus without labelled pages get an answer. Features are of fixed kinds, so the counts have a
+bounded size.
 
 Null or empty html: empty text. Cut-off pages: a tag without end is dropped, open elements end with the page. Repeated rows
 and null ids are kept row by row; only the listed columns are read. Very long pages take memory in proportion.
@@ -43,7 +45,10 @@ CONTENT_WORDS = set("article articlebody content entry main post story".split())
 # An element that begins ends the open ones named here, up to its own container.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 KEEPS_P = {"td", "th", "li", "dd", "dt", "article", "section", "div", "body", "html", "table", "blockquote", "main", "aside", "nav", "footer", "header", "form"}
+CONTAINERS = set("article aside body center dialog div fieldset footer form header html main menu nav section td".split())
 PSEUDO = 4.0
+# An observed element tells nothing of its parent: such elements stand in main texts and beside them.
+OBSERVED, OBSERVED_ODDS, UNTOLD = "noise", -1e6, ((0.5, 0.5), (0.5, 0.5))
 
 
 @dataclass
@@ -134,9 +139,15 @@ def tree(source: str) -> list[Node]:
                 break
         nodes.append(Node(stack[-1], tag, element_features(tag, match["attributes"])))
         stack.append(len(nodes) - 1)
-    for node in nodes:
+    wraps = [False] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        node = nodes[i]
         if node.tag == "#":
             node.features = leaf_features(node, nodes[node.parent].tag)
+        elif not wraps[i] and (node.tag in NOISY_TAGS or "words:noisy" in node.features):
+            node.features = [OBSERVED]
+        if node.parent >= 0:
+            wraps[node.parent] |= wraps[i] or node.tag in CONTENT_TAGS
     return nodes
 
 
@@ -147,28 +158,26 @@ def marked_labels(nodes: list[Node]) -> list[bool] | None:
     inside, noisy = [False] * len(nodes), [False] * len(nodes)
     for i, node in enumerate(nodes):
         up = node.parent
-        noisy[i] = (up >= 0 and noisy[up]) or node.tag in NOISY_TAGS or "words:noisy" in node.features
+        noisy[i] = (up >= 0 and noisy[up]) or OBSERVED in node.features
         inside[i] = (up >= 0 and inside[up]) or node.tag in CONTENT_TAGS
     return [a and not b for a, b in zip(inside, noisy, strict=True)]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log odds of content by feature; passed[parent label][label]: chance of a child's label."""
+    """Log odds of content by feature; passed[is container][parent label][label]: chance of a child's label."""
 
     odds: dict[str, float]
-    passed: tuple[tuple[float, float], tuple[float, float]]
+    passed: tuple[tuple[tuple[float, float], tuple[float, float]], ...]
 
 
 def prior_counts() -> Counter:
     counts: Counter = Counter()
-    for parent, label, n in ((0, 0, 90), (0, 1, 10), (1, 0, 5), (1, 1, 95)):
-        counts["pass", str(parent), label] += n * PSEUDO / 100
-    for tag in NOISY_TAGS:
-        counts["feature", f"tag:{tag}", 0] += PSEUDO
+    for container, parent, label, n in ((1, 0, 0, 85), (1, 0, 1, 15), (1, 1, 0, 5), (1, 1, 1, 95), (0, 0, 0, 100), (0, 1, 1, 100)):
+        counts["pass", f"{container}{parent}", label] += n
     for tag in CONTENT_TAGS:
         counts["feature", f"tag:{tag}", 1] += PSEUDO
-    for word, label in (("words:noisy", 0), ("words:content", 1), ("in:p", 1), ("links:2", 0)):
+    for word, label in (("words:content", 1), ("in:p", 1), ("links:2", 0)):
         counts["feature", word, label] += PSEUDO
     return counts
 
@@ -176,8 +185,8 @@ def prior_counts() -> Counter:
 def count_page(nodes: list[Node], labels: list[bool]) -> Counter:
     counts: Counter = Counter()
     for node, label in zip(nodes, labels, strict=True):
-        if node.parent >= 0:
-            counts["pass", str(int(labels[node.parent])), int(label)] += 1
+        if node.parent >= 0 and OBSERVED not in node.features:
+            counts["pass", f"{int(node.tag in CONTAINERS)}{int(labels[node.parent])}", int(label)] += 1
         for feature in node.features:
             counts["feature", feature, int(label)] += 1
     return counts
@@ -190,24 +199,27 @@ def make_model(counts: Counter) -> Model:
     for name in names:
         share = [(counts["feature", name, k] + 0.5) / (totals[k] + 0.5 * len(names)) for k in (0, 1)]
         odds[name] = math.log(share[1] / share[0])
-    rows = []
-    for parent in ("0", "1"):
-        both = [counts["pass", parent, k] + 0.5 for k in (0, 1)]
-        rows.append((both[0] / sum(both), both[1] / sum(both)))
-    return Model(odds, tuple(rows))
+    odds[OBSERVED] = OBSERVED_ODDS
+    chances = {}
+    for case in ("00", "01", "10", "11"):
+        both = [counts["pass", case, k] + 0.5 for k in (0, 1)]
+        chances[case] = (both[0] / sum(both), both[1] / sum(both))
+    return Model(odds, ((chances["00"], chances["01"]), (chances["10"], chances["11"])))
 
 
 def marginals(nodes: list[Node], model: Model) -> list[float]:
     """Chance that each node is content, by one pass of messages up the tree and one down."""
-    (t00, t01), (t10, t11) = model.passed
+    passed = [UNTOLD if OBSERVED in node.features else model.passed[node.tag in CONTAINERS] for node in nodes]
     limit = lambda x: max(-500.0, min(500.0, x))
     belief = [sum(model.odds.get(f, 0.0) for f in node.features) for node in nodes]
     sent = [0.0] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):
+        (t00, t01), (t10, t11) = passed[i]
         e = math.exp(limit(belief[i]))
         sent[i] = math.log((t10 + t11 * e) / (t00 + t01 * e))
         belief[nodes[i].parent] += sent[i]
     for i in range(1, len(nodes)):
+        (t00, t01), (t10, t11) = passed[i]
         e = math.exp(limit(belief[nodes[i].parent] - sent[i]))
         belief[i] += math.log((t01 + t11 * e) / (t00 + t10 * e))
     return [1.0 / (1.0 + math.exp(-limit(b))) for b in belief]

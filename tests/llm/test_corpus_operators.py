@@ -1,0 +1,230 @@
+"""Decontamination, near duplicates, packing, token files, URL filters and the pipeline against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import PUNCTUATED, SPACED, lowered  # noqa: F401
+
+import corpus_pipeline
+from givingledger.llm import contamination, near_duplicates, packing, token_files, url_filters
+from givingledger.llm.components import components
+from givingledger.llm.queries import llm_oracle, llm_queries, vocabulary_path
+from givingledger.llm.shingles import shingle_sets
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def documents(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+def bag(rows):
+    return Counter(map(repr, rows))
+
+
+def expected_contamination(docs, items, size=13):
+    windows = defaultdict(set)
+    for item_id, text in items:
+        words = PUNCTUATED.findall(lowered(text))
+        for i in range(max(len(words) - size + 1, 1) if words else 0):
+            windows[tuple(words[i : i + size])].add(item_id)
+    rows = []
+    for doc_id, text in docs:
+        words, hit, found = PUNCTUATED.findall(lowered(text)), set(), set()
+        for n in {len(w) for w in windows}:
+            for i in range(len(words) - n + 1):
+                if ids := windows.get(tuple(words[i : i + n])):
+                    hit.update(range(i, i + n))
+                    found |= ids
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        rows.append((doc_id, len(words), len(hit), len(found), digest, len(hit) > 0 and 20 * len(hit) >= len(words)))
+    return rows
+
+
+def test_contamination(spark):
+    docs, benchmark = documents(spark), spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    found = contamination.contamination(docs, benchmark).drop("doc").collect()
+    expected = expected_contamination([(r.doc_id, r.text) for r in docs.collect()], [tuple(r) for r in benchmark.select("item_id", "text").collect()])
+    assert any(r[2] for r in expected)
+    assert bag(map(tuple, found)) == bag(expected)
+
+
+def test_contamination_edge_cases(spark, docs, no_docs):
+    items = [(1, "Short TEXT"), (2, "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"), (2, "short text"),
+             (3, None), (4, ""), (5, "la mer été"), (6, "the the the the"), (7, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15 w16 w17 x")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.contamination(docs, benchmark).drop("doc").collect()
+    assert bag(map(tuple, found)) == bag(expected_contamination([(r.doc_id, r.text) for r in docs.collect()], items))
+    kept = contamination.clean_documents(docs, benchmark)
+    assert kept.columns == docs.columns and not {1, 8, 9} & {r.doc_id for r in kept.collect()}
+    assert contamination.contamination(no_docs, benchmark).collect() == []
+    assert not any(r.contaminated for r in contamination.contamination(docs, benchmark.limit(0)).collect())
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "alpha x x beta y gamma"), (2, "alpha x x x x x x beta gamma"), (3, "gamma beta alpha")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, "alpha beta gamma")], "item_id long, text string")
+    postings, items = contamination.index_both(docs.select(contamination.document_key().alias("doc"), "text"), benchmark)
+    assert {r.doc.doc_id for r in contamination.proximity_matches(postings, items, 5).collect()} == {1, 3}
+
+
+def expected_components(rows):
+    sets, smallest = {}, {}
+    for doc_id, text in rows:
+        words = SPACED.findall(lowered(text))
+        sets[doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        smallest[doc_id] = doc_id
+    changed = True
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(smallest[a], smallest[b])
+            changed |= smallest[a] != low or smallest[b] != low
+            smallest[a] = smallest[b] = low
+    return {d: (len(sets[d]), smallest[d]) for d in sets}
+
+
+def test_near_duplicates(spark):
+    docs = documents(spark)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_chains_of_near_copies(spark):
+    """Neighbours are alike, ends are not; a common passage that links nothing; many copies of one text."""
+    chance = random.Random(7)
+    words = [f"v{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        words[chance.randrange(60)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows += [(100 + i, passage + " " + " ".join(f"own{i}-{k}" for k in range(30))) for i in range(30)]
+    rows += [(200 + i, passage) for i in range(50)]
+    chance.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components(rows)
+
+
+def test_near_duplicates_edge_cases(docs, no_docs):
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found[5] == (0, 5) and found[6] == (0, 6) and found[7] == (0, 7)
+    assert found[8] == (1, 8) and found[9] == (1, 8)
+    assert found[2] == (12, 1) and found[3] == (12, 1) and found[4] == (13, 1)
+    assert near_duplicates.near_duplicates(docs).count() == docs.count()
+    kept = near_duplicates.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert not {2, 3, 4, 9} & {r.doc_id for r in kept.collect()}
+    assert near_duplicates.near_duplicates(no_docs).collect() == []
+
+
+def test_shingles_match_words():
+    texts = ["a b c d e f", "A B  c\td e\n f", "", None, "x", " é a b c d e"]
+    found = dict(shingle_sets(pa.array(texts)))
+    assert [len(found[i]) for i in range(len(texts))] == [2, 2, 0, 0, 1, 2]
+    assert set(found[0]) == set(found[1])
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (7, 7)]
+    found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(31)} | {50: 50, 70: 50, 100: 50}
+
+
+def test_packing_rules():
+    found = packing.pack([1500, 1000, 548, 500, 40], (512, 1024, 2048))
+    assert found == [(2048, [0, 2]), (2048, [1, 3, 4])]
+    assert packing.pack([100], (512, 1024)) == [(512, [0])]
+    assert packing.pack([], (512,)) == []
+
+
+def test_packing(docs, no_docs):
+    permitted = (16, 64, 1024)
+    bins = packing.pack_documents(docs, permitted, group_tokens=5000).collect()
+    used = Counter()
+    for row in bins:
+        assert row.seq_len in permitted and row.used == sum(p.length for p in row.pieces) <= row.seq_len
+        assert [p.doc_id for p in row.pieces] == row.doc_ids
+        for piece in row.pieces:
+            used[piece.doc_id] += piece.length
+    expected = Counter()
+    for row in docs.select("doc_id", "text").collect():
+        expected[row.doc_id] += len(SPACED.findall(row.text or "")) + 1
+    assert used == expected
+    assert len({r.bin_id for r in bins}) == len(bins)
+    assert packing.pack_documents(no_docs).collect() == []
+
+
+def test_token_files(spark, docs, no_docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    odd = [(50, "a  b c\x1cd  e\n\n f's I'll  "), (51, "x  <|endoftext|>  y"), (52, "\x85 tab\t\t end ")]
+    mixed = docs.select("doc_id", "text").unionByName(documents(spark).select("doc_id", "text").filter("doc_id > 20")).unionByName(
+        spark.createDataFrame(odd, "doc_id long, text string"))
+    found = sorted(token_files.write_and_read(mixed, vocabulary_path()).collect(), key=lambda r: r.start)
+    ids = {t: tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in {r.text for r in mixed.collect()}}
+    expected = Counter((r.doc_id, len(ids[r.text]), zlib.crc32(np.array(ids[r.text], dtype="<u4").tobytes())) for r in mixed.collect())
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == expected
+    at = 0
+    for row in found:
+        assert row.start == at
+        at += row.n_tokens
+    order = [(-1 if r.doc_id is None else r.doc_id) for r in found]
+    assert order == sorted(order)
+    assert token_files.write_and_read(no_docs, vocabulary_path()).collect() == []
+
+
+def test_cascade_is_exact(spark):
+    keys = spark.range(5000).selectExpr("concat('host-', id) AS key")
+    listed = keys.filter("key LIKE '%7'").unionByName(spark.createDataFrame([("unknown",)], "key string"))
+    levels = url_filters.build_cascade(listed, keys)
+    assert len(levels) > 1
+    found = keys.select("key", url_filters.is_listed(keys["key"], levels, keys).alias("listed")).collect()
+    assert all(r.listed == r.key.endswith("7") for r in found)
+    assert url_filters.build_cascade(keys.limit(0), keys) == []
+
+
+def test_url_rules(spark):
+    urls = ["http://A.Example.NET/en/x?y", "https://net/", "http://x.net", "http://example.com/de/a#b", "http://notexample.com/de/", "ftp://www.org/fr/",
+            None, "no url", "http://casino.example.org/", "http://my-casino.org/fr/", "://net/?q"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame([("casino.example.org",), ("my-casino.org",)], "key string")
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filters.judge(pages, listed).collect()}
+    assert found == {
+        0: ("a.example.net", "/en/x", "example.net/en/", "allow"), 1: ("net", "/", "net/", "block"), 2: ("x.net", "", None, "allow"),
+        3: ("example.com", "/de/a", "example.com/de/", "block"), 4: ("notexample.com", "/de/", None, "allow"), 5: ("www.org", "/fr/", "org/fr/", "allow"),
+        6: ("", "", None, "allow"), 7: ("", "", None, "allow"), 8: ("casino.example.org", "/", None, "block"),
+        9: ("my-casino.org", "/fr/", "org/fr/", "allow"), 10: ("net", "/", "net/", "block")}
+
+
+@pytest.mark.parametrize("name", list(llm_oracle()))
+def test_oracle(spark, name):
+    from compare import connect, duckdb_rows, spark_rows
+
+    assert spark_rows(llm_queries()[name](spark, FOLDER)) == duckdb_rows(connect(FOLDER), llm_oracle()[name])
+
+
+def test_pipeline(spark):
+    stages = [name for name, _ in corpus_pipeline.STAGES]
+    assert stages == ["language_id", "jaccard_join", "decontamination", "secret_scans", "best_fit_packing"]
+    docs = documents(spark)
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, FOLDER)
+        assert kept.columns == docs.columns
+    bins = corpus_pipeline.run(spark, FOLDER).collect()
+    packed = Counter()
+    for row in bins:
+        for piece in row.pieces:
+            packed[piece.doc_id] += piece.length
+    assert packed == Counter({r.doc_id: len(SPACED.findall(r.text)) + 1 for r in kept.collect()})
