@@ -234,13 +234,13 @@ def masked(text: str | None, spans: list[dict], mask: str) -> str | None:
 
 def redacted(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """All documents, with secrets replaced by the mask and n_chars, where there is such a column, counted anew."""
-    found = scan(docs)
+    found, columns = scan(docs), docs.columns
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [masked(t, s, mask) for t, s in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in docs.columns], names=docs.columns)
+                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], names=columns)
 
     clean = found.mapInArrow(replace, docs.schema)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
