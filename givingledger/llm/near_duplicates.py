@@ -67,7 +67,7 @@ def hot_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for _, tokens in shingle_sets(batch.column("text")):
                 held.append(tokens)
                 size += len(tokens)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield counted()
                     size = 0
         yield counted()
@@ -119,12 +119,10 @@ def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents whose sets are similar."""
-    pairs = written(pairs, "pairs")
-    ids = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    sets = written(token_sets(docs, ids), "sets")
-    left = sets.join(bounded(pairs), sets["id"] == pairs["a"]).select("a", "b", F.col("tokens").alias("x"))
-    both = left.join(sets.withColumnRenamed("id", "b"), "b")
+    """The pairs (a, b) of documents, stored, whose sets are similar. Only sets of listed documents move, once for a pair."""
+    ones, others = (pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b"))
+    left = token_sets(docs, ones).withColumnsRenamed({"id": "a", "tokens": "x"}).join(bounded(pairs), "a")
+    both = left.join(token_sets(docs, others).withColumnRenamed("id", "b"), "b")
     common = F.size(F.array_intersect("x", "tokens"))
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("tokens") - common)).select("a", "b")
 
@@ -155,11 +153,13 @@ def proposals(rows: DataFrame, round_: int) -> DataFrame:
     """(a, b): to each group the pivot, by size band, with which it shares most tokens and not the component."""
     mixed = F.xxhash64("g", F.lit(round_)) if round_ else F.col("g")
     banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 0.5 * round_)).withColumn("rank", mixed)
-    pivots = banded.groupBy("token", "band").agg(F.min(F.struct("rank", "g", "n", "c_min", "c_max")).alias("p"))
+    pivots = banded.groupBy("token", "band").agg(F.min(F.struct("rank", "g", "n", "place", "c_min", "c_max")).alias("p"))
     met = banded.join(pivots, ["token", "band"]).filter("g != p.g AND NOT (c_min = c_max AND p.c_min = p.c_max AND c_min = p.c_min)")
     near = met.filter("5 * least(n, p.n) >= 4 * greatest(n, p.n)")
-    shared = near.groupBy("g", F.col("p.g").alias("pivot")).agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("g").agg(F.max(F.struct("shared", F.col("pivot"))).alias("best"))
+    shared = near.groupBy("g", F.col("p.g").alias("pivot"), "n", F.col("p.n").alias("m")).agg(
+        F.count(F.lit(1)).alias("shared"), F.max("place").alias("last"), F.max("p.place").alias("last_p"))
+    likely = shared.filter(9 * F.expr("shared + least(n - last - 1, m - last_p - 1)") >= 4 * (F.col("n") + F.col("m")))
+    best = likely.groupBy("g").agg(F.max(F.struct("shared", F.col("pivot"))).alias("best"))
     return best.select(F.col("g").alias("a"), F.col("best.pivot").alias("b"))
 
 
@@ -176,13 +176,16 @@ def remaining(rows: DataFrame) -> DataFrame:
     return shared.filter(9 * most >= 4 * (F.col("n_a") + F.col("n_b"))).select(F.col("g_a").alias("a"), F.col("g_b").alias("b"))
 
 
-def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of groups as pairs of their classes, without those that are in one component already."""
+def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:
+    """Pairs of groups as pairs of classes that are in different components and were not tried before.
+
+    All classes of the first group meet those of the second; in the rounds, where the second is a pivot, its first class.
+    """
     state = members.join(labels.withColumnRenamed("id", "class"), "class")
     one = state.select(F.col("g").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
-    two = state.select(F.col("g").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))
-    return pairs.join(one, "a").join(two, "b").filter("x != y AND cx != cy").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    two = (state if whole else state.filter("class = g")).select(F.col("g").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))
+    met = pairs.join(one, "a").join(two, "b").filter("cx != cy" + (" AND (a != b OR x < y)" if whole else ""))
+    return met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -199,11 +202,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     index = written(by_token.join(shared, "token"), "index")
     labels = written(classes.select(F.col("class").alias("id"), F.col("class").alias("component")).distinct(), "labels")
     inside = members.filter("n_classes > 1").select(F.col("g").alias("a"), F.col("g").alias("b")).distinct()
+    tried = labels.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for round_ in range(ROUNDS + 1):
+        last = round_ == ROUNDS
         rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
-        pairs = proposals(rows, round_) if round_ < ROUNDS else remaining(rows)
-        wanted = pairs.unionByName(inside) if round_ == 0 else pairs
-        labels = relabelled(labels, verified(docs, expanded(wanted, members, labels)))
+        wanted = (remaining(rows) if last else proposals(rows, round_)).unionByName(inside)
+        pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
+        labels = relabelled(labels, verified(docs, pairs))
+        tried = written(tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "tried")
     return with_components(sketch, classes, labels)
 
 

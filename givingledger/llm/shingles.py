@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 SIZE = 5
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
