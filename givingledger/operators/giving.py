@@ -11,6 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from givingledger.functions.fiscal import WINDOW_COUNT, shift_years, timestamp
+from givingledger.functions.keys import (
+    amount_date_key,
+    amount_of_date_key,
+    date_amount_key,
+    date_of_amount_key,
+    date_of_date_key,
+)
 from givingledger.functions.money import (
     MONEY,
     TOTAL,
@@ -43,8 +50,9 @@ GIFT_KINDS = {
 def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
     """One row per donor, fiscal window and giving year (both NULL where they do not apply).
 
-    The first, last and largest gift are structs, compared field by field: gifts of the same
-    moment are told apart by amount, and a gift without a date comes before all others.
+    The first, last and largest gift are whole numbers made of date and amount: gifts of the same
+    moment are told apart by amount, and a gift without a date comes before all others. All
+    aggregates are hash aggregates, so gifts are combined before the shuffle and never sorted.
     """
     calendar = params.calendar
     gifts = donations.filter(F.col(DONOR).isNotNull()).select(
@@ -56,6 +64,8 @@ def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
         valued_amount().alias("ValuedAmount"),
         calendar.years_back("DonatedOn").alias("YearsBack"),
         calendar.giving_year("DonatedOn").alias("GivingYear"),
+        F.expr(date_amount_key("DonatedOn", "Amount")).alias("DateAmount"),
+        F.expr(amount_date_key("Amount", "DonatedOn")).alias("AmountDate"),
     )
 
     return gifts.groupBy(DONOR, "YearsBack", "GivingYear").agg(
@@ -66,9 +76,11 @@ def giving_history(donations: DataFrame, params: ExportParams) -> DataFrame:
             F.expr(f"count(DonatedOn) FILTER (WHERE {condition}) AS {name}")
             for name, condition in GIFT_KINDS.items()
         ],
-        F.min(F.struct("DonatedOn", "Amount")).alias("First"),
-        F.max(F.struct("DonatedOn", "Amount")).alias("Last"),
-        F.max(F.struct("Amount", "DonatedOn")).alias("Largest"),
+        F.max("DonatedOn").alias("LastOn"),
+        F.max("Amount").alias("LargestAmount"),
+        F.min("DateAmount").alias("FirstKey"),
+        F.max("DateAmount").alias("LastKey"),
+        F.max("AmountDate").alias("LargestKey"),
     )
 
 
@@ -99,9 +111,8 @@ def donor_rollup(history: DataFrame) -> DataFrame:
     return marked.groupBy(DONOR).agg(
         F.sum("NewYear").alias("YearsGiven"),
         *[F.sum(name).alias(name) for name in lifetime],
-        F.min("First").alias("First"),
-        F.max("Last").alias("Last"),
-        F.max("Largest").alias("Largest"),
+        F.min("FirstKey").alias("FirstKey"),
+        *[F.max(name).alias(name) for name in ("LastOn", "LargestAmount", "LastKey", "LargestKey")],
         *[
             F.expr(f"sum({column}) FILTER (WHERE YearsBack = {back}) AS {name}")
             for name, (column, back) in within.items()
@@ -146,7 +157,7 @@ def status_columns(params: ExportParams) -> dict[str, str]:
     start = params.calendar.start
     since = {CURRENT_DONOR: 0, LAPSING: -1, LAPSED: -3}
     tiers = [
-        f"WHEN Last.DonatedOn > {timestamp(shift_years(start, years))} THEN '{status}'"
+        f"WHEN LastOn > {timestamp(shift_years(start, years))} THEN '{status}'"
         for status, years in since.items()
     ]
     text = f"CASE WHEN HasGiven IS NULL THEN '{NEVER_DONATED}' {' '.join(tiers)}"
@@ -161,15 +172,21 @@ def lifetime_columns() -> dict[str, str]:
 
 
 def first_gift_columns() -> dict[str, str]:
-    return {"FirstDonationDate": "First.DonatedOn", "FirstDonationAmount": "First.Amount"}
+    return {
+        "FirstDonationDate": date_of_date_key("FirstKey"),
+        "FirstDonationAmount": amount_of_date_key("FirstKey"),
+    }
 
 
 def last_gift_columns() -> dict[str, str]:
-    return {"LastDonationAmount": "Last.Amount", "LastDonationDate": "Last.DonatedOn"}
+    return {"LastDonationAmount": amount_of_date_key("LastKey"), "LastDonationDate": "LastOn"}
 
 
 def largest_gift_columns() -> dict[str, str]:
-    return {"LargestDonationAmount": "Largest.Amount", "LargestDonationDate": "Largest.DonatedOn"}
+    return {
+        "LargestDonationAmount": "LargestAmount",
+        "LargestDonationDate": date_of_amount_key("LargestKey"),
+    }
 
 
 def years_given_columns() -> dict[str, str]:

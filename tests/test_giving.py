@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from fixtures import donor, export_row, export_rows, frame, gift, make_tables, params
 
+from givingledger.functions import keys
 from givingledger.functions.fiscal import FiscalCalendar
 from givingledger.operators import giving
 from givingledger.operators.donations import window_activity
@@ -213,7 +214,9 @@ def test_window_labels(spark):
 
 def test_window_activity(spark):
     gifts = [gift(5, day(2023, 8, 1)), gift(6, day(2023, 8, 1)), gift(7, day(2023, 6, 30, 10))]
-    (row,) = window_activity(frame(spark, "donations", gifts), params().calendar).collect()
+    found = window_activity(frame(spark, "donations", gifts), params().calendar).collect()
+    row, *empty = sorted(found, key=lambda r: r.YearsBack)
+    assert [(r.YearsBack, r.Gifts, r.Donated) for r in empty] == [(k, 0, 0) for k in range(1, 10)]
     assert row.asDict() == {
         "YearsBack": 0,
         "WindowStart": day(2023, 7, 1),
@@ -255,3 +258,20 @@ def test_order_of_gifts_does_not_matter(spark):
     assert result(tables.donations.repartition(5, "Amount")) == result(
         tables.donations.coalesce(1).orderBy("Amount", ascending=False)
     )
+
+
+def test_keys_keep_pairs_and_their_order(spark):
+    """Dates with times, before 1970, in a missing hour; unknown dates and amounts; extreme amounts."""
+    dates = ["0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "2023-03-12 02:30:00.000001", "9999-12-31 23:59:59.5", None]
+    amounts = ["-999999999999999.9999", "-0.0001", "0", "0.0001", "999999999999999.9999", None]
+    pairs = spark.createDataFrame([(d, a) for d in dates for a in amounts], "d string, a string").selectExpr(
+        "CAST(d AS timestamp_ntz) AS d", "CAST(a AS decimal(19,4)) AS a")
+    by_date, by_amount = keys.date_amount_key("d", "a"), keys.amount_date_key("a", "d")
+    rows = pairs.selectExpr("d", "a", f"{by_date} AS x", f"{by_amount} AS y").selectExpr(
+        "d", "a", "x", "y", f"{keys.date_of_date_key('x')} AS dx", f"{keys.amount_of_date_key('x')} AS ax",
+        f"{keys.date_of_amount_key('y')} AS dy").collect()
+    assert len(rows) == 30
+    assert all((r.dx, r.ax, r.dy) == (r.d, r.a, r.d) for r in rows)
+    known_first = lambda value: (value is not None, value)
+    assert sorted(rows, key=lambda r: r.x) == sorted(rows, key=lambda r: (known_first(r.d), known_first(r.a)))
+    assert sorted(rows, key=lambda r: r.y) == sorted(rows, key=lambda r: (known_first(r.a), known_first(r.d)))

@@ -178,3 +178,8 @@ def test_one_donor_with_most_gifts(spark):
     row = donor_rollup(history).first()
     assert row.Donated == sum(n % 100 for n in range(100_000))
     assert row.Stock == 50_000
+
+
+@pytest.mark.parametrize("name", ["donor_rollup", "donor_status", "first_gift", "largest_gift"])
+def test_gifts_are_not_sorted_before_they_are_combined(spark, name):
+    assert "SortAggregate" not in planned(catalog()[name](spark, FOLDER))
