@@ -67,6 +67,10 @@ SAMPLE_PARAMS = ExportParams(
 )
 
 
+# Three years later all ten windows hold gifts.
+LATER = {"fiscal_start": datetime(2005, 7, 1), "as_of": datetime(2004, 12, 1)}
+
+
 def _query(build: Callable[[DonorTables, ExportParams], DataFrame], **changes: object) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(donor_tables(spark, folder), replace(SAMPLE_PARAMS, **changes))
@@ -78,14 +82,14 @@ def _pick(rows: DataFrame, columns: dict[str, Column | str]) -> DataFrame:
     return rows.select(DONOR, *named(columns))
 
 
-def _giving(columns: Callable[[ExportParams], dict[str, str]]) -> Query:
+def _giving(columns: Callable[[ExportParams], dict[str, str]], **changes: object) -> Query:
     """A query on columns that derive from a donor's gifts; unused aggregates are pruned."""
 
     def build(tables: DonorTables, params: ExportParams) -> DataFrame:
         donors = tables.donors.select(DONOR)
         return _pick(giving.with_giving(donors, tables.donations, params), columns(params))
 
-    return _query(build)
+    return _query(build, **changes)
 
 
 def _scan_donor_base(tables: DonorTables, params: ExportParams) -> DataFrame:
@@ -278,4 +282,9 @@ def catalog() -> dict[str, Query]:
         ),
         "donor_export": _query(donor_export),
         "donor_export_listed": _listed_export,
+        "percent_changes_later": _giving(lambda p: giving.percent_change_columns(), **LATER),
+        "donor_rollup_later": _giving(
+            lambda p: {**giving.giving_columns(p), **giving.window_label_columns(p)}, **LATER
+        ),
+        "fiscal_windows_later": _query(lambda t, p: window_activity(t.donations, p.calendar), **LATER),
     }

@@ -454,5 +454,14 @@ def self_contained(body: str) -> str:
     return f"WITH {', '.join(ctes)}\n{body.strip()}" if ctes else body.strip()
 
 
+# The same three years later, where all ten windows hold gifts.
+LATER = ("percent_changes", "donor_rollup", "fiscal_windows")
+
+
+def three_years_later(sql: str) -> str:
+    return sql.replace(FISCAL_START, "TIMESTAMP '2004-07-01'").replace("12/01/2001", "12/01/2004")
+
+
 def oracle_queries() -> dict[str, str]:
-    return {name: self_contained(body) for name, body in BODIES.items()}
+    found = {name: self_contained(body) for name, body in BODIES.items()}
+    return found | {f"{name}_later": three_years_later(found[name]) for name in LATER}
