@@ -208,7 +208,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
         wanted = (remaining(rows) if last else proposals(rows, round_)).unionByName(inside)
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
-        labels = relabelled(labels, verified(docs, pairs))
+        if pairs.isEmpty():
+            continue
+        links = written(verified(docs, pairs), "verified")
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
         tried = written(tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "tried")
     return with_components(sketch, classes, labels)
 
