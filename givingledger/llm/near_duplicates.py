@@ -4,8 +4,8 @@
    for all sets. It steers work only; any order gives the same links.
 2. Equal sets are one class; classes with equal size and prefix are one group. The index holds the prefix of one document
    of each group, as rows (token, group, size, place).
-3. Rounds: in each token's list, by size band, one group is the pivot; each group proposes a link to the pivot with which it
-   shares most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
+3. Rounds: in each token's list, by size band, one group is the pivot, in the second round up to eight; each group proposes
+   a link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
 4. Rest: for lists that still hold more than one component, all pairs of groups of different components that pass the length
    and positional filters are expanded and verified. So no link between different components is lost.
@@ -30,7 +30,7 @@ from givingledger.llm.shingles import mix, shingle_sets
 
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
-ROUNDS = 2
+PIVOTS = (1, 8)  # of each list, by round
 SKETCH = "doc_id long, n long, set_hi long, set_lo long, prefix_hi long, prefix_lo long, prefix array<long>"
 CLASS = ["n", "set_hi", "set_lo"]
 GROUP = ["n", "prefix_hi", "prefix_lo"]
@@ -150,15 +150,21 @@ def open_lists(index: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def proposals(rows: DataFrame, round_: int) -> DataFrame:
-    """(a, b): to each group the pivot, by size band, with which it shares most tokens and not the component."""
-    mixed = F.xxhash64("g", F.lit(round_)) if round_ else F.col("g")
-    banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 0.5 * round_)).withColumn("rank", mixed)
-    pivots = banded.groupBy("token", "band").agg(F.min(F.struct("rank", "g", "n", "place", "c_min", "c_max")).alias("p"))
+    """(a, b): to each group pivots of its lists, by size band, of other components, with which it may be similar."""
+    n_pivots = PIVOTS[round_]
+    banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 0.5 * round_))
+    kept = ("g", "n", "place", "c_min", "c_max")
+    lowest = [F.min(F.struct(F.xxhash64("g", F.lit(100 * round_ + k)).alias("rank"), *kept)) for k in range(n_pivots)]
+    chosen = banded.groupBy("token", "band").agg(F.array(*lowest).alias("chosen"))
+    distinct = F.array_distinct(F.transform("chosen", lambda p: F.struct(*[p[c].alias(c) for c in kept])))
+    pivots = chosen.select("token", "band", F.explode(distinct).alias("p"))
     met = banded.join(pivots, ["token", "band"]).filter("g != p.g AND NOT (c_min = c_max AND p.c_min = p.c_max AND c_min = p.c_min)")
     near = met.filter("5 * least(n, p.n) >= 4 * greatest(n, p.n)")
     shared = near.groupBy("g", F.col("p.g").alias("pivot"), "n", F.col("p.n").alias("m")).agg(
         F.count(F.lit(1)).alias("shared"), F.max("place").alias("last"), F.max("p.place").alias("last_p"))
     likely = shared.filter(9 * F.expr("shared + least(n - last - 1, m - last_p - 1)") >= 4 * (F.col("n") + F.col("m")))
+    if n_pivots > 1:
+        return likely.select(F.col("g").alias("a"), F.col("pivot").alias("b"))
     best = likely.groupBy("g").agg(F.max(F.struct("shared", F.col("pivot"))).alias("best"))
     return best.select(F.col("g").alias("a"), F.col("best.pivot").alias("b"))
 
@@ -203,8 +209,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = written(classes.select(F.col("class").alias("id"), F.col("class").alias("component")).distinct(), "labels")
     inside = members.filter("n_classes > 1").select(F.col("g").alias("a"), F.col("g").alias("b")).distinct()
     tried = labels.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    for round_ in range(ROUNDS + 1):
-        last = round_ == ROUNDS
+    for round_ in range(len(PIVOTS) + 1):
+        last = round_ == len(PIVOTS)
         rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
         wanted = (remaining(rows) if last else proposals(rows, round_)).unionByName(inside)
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
@@ -225,7 +231,9 @@ def with_components(sketch: DataFrame, classes: DataFrame, labels: DataFrame) ->
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id; same columns. Rows with a null id stay."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.join(written(kept, "kept"), F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-    return known.unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each component, the one with the smallest id; same columns. Rows with a null id stay.
+
+    The ids that go are joined, fewer than those that stay; texts are not shuffled unless very many documents go.
+    """
+    gone = near_duplicates(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(bounded(written(gone, "gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
