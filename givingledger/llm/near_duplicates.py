@@ -4,11 +4,11 @@
    for all sets. It steers work only; any order gives the same links.
 2. Equal sets are one class; classes with equal size and prefix are one group. The index holds the prefix of one document
    of each group, as rows (token, group, size, place).
-3. Rounds: in each token's list, by size band, one group is the pivot, in the second round up to eight; each group proposes
-   a link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
+3. Rounds: in each token's list, by size band, one group is the pivot, in later rounds up to eight; each group proposes a
+   link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
 4. Rest: for lists that still hold more than one component, all pairs of groups of different components that pass the length
-   and positional filters are expanded and verified. So no link between different components is lost.
+   and overlap filters are made once, expanded and verified. So no link between different components is lost.
 
 Sets are compared by 64-bit shingle hashes. A document without words has the empty set and no link. Null text counts as
 empty. Rows with one doc_id are one document. A null doc_id has no component of its own (null) unless its copies have one.
@@ -30,7 +30,7 @@ from givingledger.llm.shingles import mix, shingle_sets
 
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
-PIVOTS = (1, 8)  # of each list, by round
+PIVOTS = (1, 8, 8)  # of each list, by round
 SKETCH = "doc_id long, n long, set_hi long, set_lo long, prefix_hi long, prefix_lo long, prefix array<long>"
 CLASS = ["n", "set_hi", "set_lo"]
 GROUP = ["n", "prefix_hi", "prefix_lo"]
@@ -170,16 +170,21 @@ def proposals(rows: DataFrame, round_: int) -> DataFrame:
 
 
 def remaining(rows: DataFrame) -> DataFrame:
-    """(a, b): pairs of groups of different components in one list that pass the length and positional filters."""
-    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("g", "n", "place", "c_min", "c_max")])
-    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("g", "n", "place", "c_min", "c_max")])
-    met = left.join(right, "token").filter(
-        "g_a < g_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
-        " AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b)")
-    shared = met.groupBy("g_a", "g_b", "n_a", "n_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
-    most = F.expr("shared + least(n_a - last_a - 1, n_b - last_b - 1)")
-    return shared.filter(9 * most >= 4 * (F.col("n_a") + F.col("n_b"))).select(F.col("g_a").alias("a"), F.col("g_b").alias("b"))
+    """(a, b): pairs of groups of different components in one list that can still be similar.
+
+    A pair is made once, in the list of its first common token. What both have beyond the tokens shared here lies behind
+    the end of one of the two prefixes, which bounds their overlap.
+    """
+    held = rows.groupBy("g", "n", "c_min", "c_max").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("held"))
+    spread = held.select("g", "n", "c_min", "c_max", F.col("held.token").alias("tokens"), F.posexplode("held.token").alias("k", "token"))
+    left, right = (spread.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("g", "n", "c_min", "c_max", "tokens", "k")]) for s in "ab")
+    behind = "greatest(ceil(0.8 * n_a), ceil(0.8 * n_b)) - 1"
+    pairs = left.join(right, "token").filter(f"""
+        g_a < g_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)
+        AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b)
+        AND NOT arrays_overlap(slice(tokens_a, 1, k_a), slice(tokens_b, 1, k_b))
+        AND 9 * (size(array_intersect(tokens_a, tokens_b)) + {behind}) >= 4 * (n_a + n_b)""")
+    return pairs.select(F.col("g_a").alias("a"), F.col("g_b").alias("b"))
 
 
 def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:
