@@ -15,10 +15,13 @@ in one go, as such names are found before the split.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +34,23 @@ from pyspark.sql.window import Window
 from givingledger.llm.common import new_folder
 
 PIECES = re.compile(r" ?(?:[^\s]|[\x1c-\x1f])+|[^\S\x1c-\x1f]+(?![^\s]|[\x1c-\x1f])|[^\S\x1c-\x1f]+")
-CACHED = 1_000_000
+CACHED = 500_000
+ROWS = 500
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 NULL_ID = np.iinfo(np.int64).min
 
 
 class Encoder:
-    """Ids of texts as bytes of `dtype`, by a cache of pieces that is emptied when it is full."""
+    """Ids of texts as bytes of `dtype`, by a cache of pieces that is emptied when it is full.
+
+    One is kept by each Python worker. A task has one core, so the tokenizer must not start threads of its own.
+    """
 
     def __init__(self, vocabulary: str, dtype: np.dtype, end_id: int) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.code = {2: "H", 4: "I"}[dtype.itemsize]
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype, self.end, self.known = dtype, np.array([end_id], dtype=dtype).tobytes(), {}
@@ -56,10 +65,15 @@ class Encoder:
             if len(self.known) + len(new) > CACHED:
                 self.known, new = {}, list(set(pieces))
             found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, dtype=self.dtype).tobytes()) for p, e in zip(new, found, strict=True))
+            self.known.update((p, array(self.code, e.ids).tobytes()) for p, e in zip(new, found, strict=True))
         return b"".join([self.known[p] for p in pieces]) + self.end
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(vocabulary: str, dtype: str, end_id: int) -> Encoder:
+    return Encoder(vocabulary, np.dtype(dtype), end_id)
+
+
 def file_type(vocabulary_size: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
 
@@ -68,13 +82,13 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int, dty
     """Encodes docs (doc_id, text) into shard files under folder; the manifest, stored there too."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, context = Encoder(vocabulary, dtype, end_id), TaskContext.get()
+        encoder, context = worker_encoder(vocabulary, dtype.str, end_id), TaskContext.get()
         store, root = fs.FileSystem.from_uri(folder)
         path = f"shard-{context.partitionId():06d}-{uuid.uuid4().hex}"
         ids, ends, total = [], [], 0
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/{path}.tokens") as out:
-            for batch in batches:
+            for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     coded = encoder.encode(text)
                     out.write(coded)
