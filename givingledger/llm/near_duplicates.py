@@ -10,9 +10,11 @@
 4. Rest: for lists that still hold more than one component, all pairs of groups of different components that pass the length
    and overlap filters are made once, expanded and verified. So no link between different components is lost.
 
-Sets are compared by 64-bit shingle hashes. A document without words has the empty set and no link. Null text counts as
-empty. Rows with one doc_id are one document. A null doc_id has no component of its own (null) unless its copies have one.
-Empty tables give empty results; other columns are not read.
+Sets are compared by 64-bit shingle hashes. A row without words has the empty set and no link. Null text counts as empty.
+Each row counts by itself: a row's key is a 128-bit digest of its doc_id and text, equal only in repeated rows, and classes have
+numbers of their own. So rows with one doc_id but other texts stay apart, and rows with a null doc_id are linked like others. A
+component is reported by its smallest doc_id, null if none of its rows has one. Empty tables give empty results; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from givingledger.llm.shingles import mix, shingle_sets
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
 PIVOTS = (1, 8, 8)  # of each list, by round
-SKETCH = "doc_id long, n long, set_hi long, set_lo long, prefix_hi long, prefix_lo long, prefix array<long>"
-CLASS = ["n", "set_hi", "set_lo"]
+SKETCH = "doc_id long, row_hi long, row_lo long, n long, set_hi long, set_lo long, prefix_hi long, prefix_lo long, prefix array<long>"
+ROW = ["row_hi", "row_lo"]
+CLASS = ["n", "set_hi", "set_lo", "prefix_hi", "prefix_lo"]  # a set has one prefix
 GROUP = ["n", "prefix_hi", "prefix_lo"]
 
 
@@ -47,6 +50,12 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(pair[0].astype(np.int64)), int(pair[1].astype(np.int64))
 
 
+def row_key() -> list[Column]:
+    """128 bits of a row's doc_id and text."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return [F.xxhash64(F.lit(k), doc_id.isNull(), doc_id, text).alias(c) for k, c in enumerate(ROW)]
+
+
 def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else df
 
@@ -99,30 +108,33 @@ def sketches(docs: DataFrame) -> DataFrame:
                 for column, value in zip(rows, (len(tokens), *digest(tokens), *digest(prefix), prefix.view(np.int64)), strict=True):
                     column.append(value)
             arrays = [pa.array(c, pa.int64()) for c in rows[:5]] + [pa.array(rows[5], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], schema=pa.schema(
-                [pa.field(c, pa.int64()) for c in ("doc_id", *GROUP[:1], "set_hi", "set_lo", "prefix_hi", "prefix_lo")]
-                + [pa.field("prefix", pa.list_(pa.int64()))]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *ROW)], *arrays], schema=pa.schema(
+                [pa.field(c, pa.int64()) for c in ("doc_id", *ROW, *CLASS)] + [pa.field("prefix", pa.list_(pa.int64()))]))
 
-    return written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sketch, SKETCH), "sketches")
+    return written(docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string")).mapInArrow(sketch, SKETCH), "sketches")
 
 
-def token_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, tokens) of the documents listed in ids (id)."""
+def token_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
+    """(id, tokens) of the classes listed in ids (id), each once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [tokens.view(np.int64) for _, tokens in shingle_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "tokens"])
 
-    listed = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(bounded(ids), "id", "left_semi")
-    return listed.mapInArrow(sets, "id long, tokens array<long>")
+    listed = bounded(ids)
+    wanted = classes.select(F.col("class").alias("id"), *ROW).join(listed, "id", "left_semi")
+    wanted = wanted if listed is ids else F.broadcast(wanted)  # a row for each id
+    texts = docs.select(*row_key(), F.col("text").cast("string").alias("text")).join(wanted, ROW).select("id", "text")
+    texts = texts.groupBy("id").agg(F.first("text").alias("text")) if repeated else texts
+    return texts.mapInArrow(sets, "id long, tokens array<long>")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of documents, stored, whose sets are similar. Only sets of listed documents move, once for a pair."""
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
+    """The pairs (a, b) of classes, stored, whose sets are similar. Only sets of listed classes move, once for a pair."""
     ones, others = (pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b"))
-    left = token_sets(docs, ones).withColumnsRenamed({"id": "a", "tokens": "x"}).join(bounded(pairs), "a")
-    both = left.join(token_sets(docs, others).withColumnRenamed("id", "b"), "b")
+    left = token_sets(docs, ones, classes, repeated).withColumnsRenamed({"id": "a", "tokens": "x"}).join(bounded(pairs), "a")
+    both = left.join(token_sets(docs, others, classes, repeated).withColumnRenamed("id", "b"), "b")
     common = F.size(F.array_intersect("x", "tokens"))
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("tokens") - common)).select("a", "b")
 
@@ -199,19 +211,33 @@ def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tried: Dat
     return met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) per document row."""
+def first_row() -> Column:
+    """The row with the smallest doc_id, those without one last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *ROW, "copies")).alias("first")
+
+
+def classes_of(sketch: DataFrame) -> DataFrame:
+    """(*CLASS, doc_id, *ROW, copies, class): each class with a number and its first row, which is there `copies` times; stored."""
+    rows = sketch.filter("n > 0").groupBy(*CLASS, "doc_id", *ROW).agg(F.count(F.lit(1)).alias("copies"))
+    found = rows.groupBy(*CLASS).agg(first_row())
+    return written(found.select(*CLASS, "first.doc_id", *[f"first.{c}" for c in ROW], "first.copies",
+                                F.monotonically_increasing_id().alias("class")), "classes")
+
+
+def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and each class (*CLASS) with the first row (doc_id, *ROW, copies) of its component; both stored."""
     sketch = sketches(docs)
-    some = sketch.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = written(some.groupBy(*CLASS, "prefix_hi", "prefix_lo").agg(F.min("doc_id").alias("class")), "classes")
+    classes = classes_of(sketch)
+    repeated = not classes.filter("copies > 1").isEmpty()
     groups = classes.groupBy(*GROUP).agg(F.min("class").alias("g"), F.count(F.lit(1)).alias("n_classes"))
-    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes"), "members")
-    chosen = some.join(groups.withColumnRenamed("g", "doc_id"), [*GROUP, "doc_id"]).dropDuplicates(["doc_id", *GROUP])
-    exploded = chosen.select(F.col("doc_id").alias("g"), "n", F.posexplode("prefix").alias("place", "token"))
+    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes", *GROUP, *ROW), "members")
+    chosen = sketch.join(members.filter("class = g").select("g", *GROUP, *ROW), [*GROUP, *ROW]).dropDuplicates([*GROUP, *ROW])
+    exploded = chosen.select("g", "n", F.posexplode("prefix").alias("place", "token"))
+    members = members.select("g", "class", "n_classes")
     by_token = exploded.repartition("token")
     shared = by_token.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     index = written(by_token.join(shared, "token"), "index")
-    labels = written(classes.select(F.col("class").alias("id"), F.col("class").alias("component")).distinct(), "labels")
+    labels = written(classes.select(F.col("class").alias("id"), F.col("class").alias("component")), "labels")
     inside = members.filter("n_classes > 1").select(F.col("g").alias("a"), F.col("g").alias("b")).distinct()
     tried = labels.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for round_ in range(len(PIVOTS) + 1):
@@ -221,24 +247,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
         if pairs.isEmpty():
             continue
-        links = written(verified(docs, pairs), "verified")
+        links = written(verified(docs, pairs, classes, repeated), "verified")
         if not links.isEmpty():
             labels = relabelled(labels, links)
         tried = written(tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "tried")
-    return with_components(sketch, classes, labels)
+    return sketch, with_first_rows(classes, labels)
+
 
+def with_first_rows(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    named = classes.join(labels.withColumnRenamed("id", "class"), "class")
+    several = named.groupBy("component").agg(first_row(), F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1")
+    joined = named.join(bounded(written(several.select("component", "first"), "several")), "component", "left")
+    of = lambda c: F.when(F.col("first").isNull(), F.col(c)).otherwise(F.col(f"first.{c}")).alias(c)
+    return written(joined.select(*CLASS, *[of(c) for c in ("doc_id", *ROW, "copies")]), "first_rows")
 
-def with_components(sketch: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    named = classes.join(labels.withColumnRenamed("id", "class"), "class").select(*CLASS, "component")
-    own = sketch.select("doc_id", *CLASS)
-    joined = own.join(named.groupBy(*CLASS).agg(F.min("component").alias("component")), CLASS, "left")
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) per document row."""
+    sketch, first = linked(docs)
+    joined = sketch.select("doc_id", *CLASS).join(first.select(*CLASS, F.col("doc_id").alias("component")), CLASS, "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest id; same columns. Rows with a null id stay.
+    """Exactly one row of each component, one with the smallest id; same columns. Rows without words stay.
 
-    The ids that go are joined, fewer than those that stay; texts are not shuffled unless very many documents go.
+    The keys that go are joined, fewer than those that stay; texts are not shuffled unless very many go. Only rows of a first
+    key that is there repeatedly are grouped, combined before the shuffle; of those the least in the other columns stays.
     """
-    gone = near_duplicates(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(bounded(written(gone, "gone")), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    sketch, first = linked(docs)
+    mine = sketch.filter("n > 0").select(*CLASS, *ROW)
+    met = mine.join(first.select(*CLASS, *[F.col(c).alias(f"first_{c}") for c in ROW]), CLASS)
+    gone = met.filter(" OR ".join(f"{c} != first_{c}" for c in ROW)).select(*[F.col(c).alias(f"_{c}") for c in ROW]).distinct()
+    again = written(first.filter("copies > 1").select(*[F.col(c).alias(f"_{c}") for c in ROW]).distinct(), "repeated")
+    keys, columns = [f"_{c}" for c in ROW], docs.columns
+    keyed = docs.select(*columns, *[k.alias(f"_{c}") for k, c in zip(row_key(), ROW, strict=True)])
+    kept = keyed.join(bounded(written(gone, "gone")), keys, "left_anti")
+    if again.isEmpty():
+        return kept.select(*columns)
+    ranked = [c for c in columns if c not in ("doc_id", "text") and "map<" not in docs.schema[c].dataType.simpleString()]
+    least = F.min_by(F.struct(*columns), F.struct(F.lit(0).alias("_"), *ranked)).alias("row")
+    one = keyed.join(bounded(again), keys, "left_semi").groupBy(*keys).agg(least)
+    return kept.join(bounded(again), keys, "left_anti").select(*columns).unionByName(one.select("row.*"))

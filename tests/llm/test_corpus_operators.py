@@ -127,6 +127,22 @@ def test_near_duplicates_edge_cases(docs, no_docs):
     assert near_duplicates.near_duplicates(no_docs).collect() == []
 
 
+def test_each_row_counts_by_itself(spark):
+    """A repeated smallest id, copies without ids, and ids with two texts, one of them a copy."""
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdefg"}
+    rows = [(1, texts["a"], "x")] * 20 + [(2, texts["a"], "y"), (3, texts["a"] + " more", "y")]
+    rows += [(None, texts["b"], "x")] * 3 + [(None, texts["b"] + " more", "x"), (None, texts["c"], "x"), (9, texts["c"], "x")]
+    rows += [(4, texts["d"], "x"), (5, texts["d"], "x"), (5, texts["e"], "x"), (6, texts["e"] + " more", "x")]
+    rows += [(7, texts["f"], "x"), (7, texts["g"], "y"), (8, texts["g"] + " more", "x"), (10, "", "x"), (10, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = near_duplicates.near_duplicates(docs).collect()
+    expected = [(1, 36, 1)] * 20 + [(2, 36, 1), (3, 37, 1)] + [(None, 36, None)] * 3 + [(None, 37, None), (None, 36, 9), (9, 36, 9)]
+    expected += [(4, 36, 4), (5, 36, 4), (5, 36, 5), (6, 37, 5), (7, 36, 7), (7, 36, 7), (8, 37, 7), (10, 0, 10), (10, 0, 10)]
+    assert bag(map(tuple, found)) == bag(expected)
+    kept = [(r.doc_id, (r.text or "")[:1]) for r in near_duplicates.first_of_each(docs).collect()]
+    assert bag(kept) == bag([(1, "a"), (None, "b"), (9, "c"), (4, "d"), (5, "e"), (7, "f"), (7, "g"), (10, ""), (10, "")])
+
+
 def test_shingles_match_words():
     texts = ["a b c d e f", "A B  c\td e\n f", "", None, "x", " é a b c d e"]
     found = dict(shingle_sets(pa.array(texts)))
