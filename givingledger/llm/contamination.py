@@ -8,6 +8,9 @@
 3. What is left is compared word by word with the postings around the anchors, and runs of 13 or more matching neighbours
    are the exact matches.
 
+Proximity matches: an item all of whose words, in any order, lie at most its own length and `INSERTED` words from a place of its
+rarest word; report() gives them over the same postings.
+
 Everything is keyed by (document, position), which no frequent word or passage can make uneven. The vocabulary, anchors and
 item words are as large as the benchmark; they are broadcast only if they have at most `MAX_BROADCAST` rows, likewise the keys
 of candidate documents; beyond that the same joins are shuffled. A document's key is its doc_id with a hash of its text:
@@ -27,6 +30,7 @@ from pyspark.sql.window import Window
 from givingledger.llm.common import PUNCTUATION, lower_ascii, sha256_of, split_words, written
 
 WINDOW = 13
+INSERTED = 8  # words that a proximity match may hold besides the item's
 MAX_BROADCAST = 1_000_000
 END_MARK, END_TERM = "", 0
 
@@ -107,22 +111,41 @@ def phrase_matches(postings: DataFrame, items: DataFrame, window: int = WINDOW)
     return runs.filter(whole).select("doc", "item", "item_id", "first", "last")
 
 
-def proximity_matches(postings: DataFrame, items: DataFrame, slop: int) -> DataFrame:
+def proximity_matches(postings: DataFrame, items: DataFrame, slop: int | None = None) -> DataFrame:
     """(doc, item, item_id, pos): places of an item's rarest word with every other item word at most `slop` words away.
 
-    Words are compared as a set, in any order. Only the strips of `slop` places beside an anchor are looked at.
+    Words are compared as a set, in any order. Without `slop` it is the item's length and `INSERTED` words. Only strips beside an
+    anchor are looked at, first for the item's second rarest word, and for the others only where that one is found.
     """
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    terms = items.select("item", "item_id", "term").distinct().join(frequency, "term", "left")
-    rarest = terms.groupBy("item", "item_id").agg(
-        F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "term")).alias("a"), F.count(F.lit(1)).alias("n_terms"))
-    anchor = rarest.filter("a.freq > 0").select("item", "item_id", "n_terms", F.col("a.term").alias("term"))
-    hits = postings.join(anchor, "term").select("doc", "pos", "item", "item_id", "n_terms")
-    strips = hits.withColumn("strip", F.explode(F.expr(f"sequence(pos DIV {slop + 1} - 1, pos DIV {slop + 1} + 1)")))
-    wanted = strips.join(terms.select("item", "term"), "item")
-    near = postings.select("doc", "term", F.col("pos").alias("at"), F.expr(f"pos DIV {slop + 1}").alias("strip"))
-    met = wanted.join(near, ["doc", "term", "strip"]).filter(F.abs(F.col("at") - F.col("pos")) <= slop)
-    counted = met.groupBy("doc", "item", "item_id", "pos", "n_terms").agg(F.count_distinct("term").alias("met"))
+    reach = (F.col("n") + INSERTED if slop is None else F.lit(slop)).cast("int").alias("slop")
+    terms = written(items.select("item", "item_id", reach, "term").distinct().join(frequency, "term", "left").fillna(0, ["freq"]), "terms")
+    rarest = terms.groupBy("item", "item_id", "slop").agg(F.sort_array(F.collect_list(F.struct("freq", "term"))).alias("t"))
+    anchor = rarest.filter(F.col("t")[0]["freq"] > 0).select(
+        "item", "item_id", "slop", F.expr("CAST(power(2, ceil(log2(slop + 1))) AS INT)").alias("width"), F.size("t").alias("n_terms"),
+        F.col("t")[0]["term"].alias("term"), F.coalesce(F.get("t", F.lit(1)), F.col("t")[0])["term"].alias("term2"))
+    anchor = written(anchor, "near_anchors")
+    widths = [r["width"] for r in anchor.select("width").distinct().collect()]  # powers of two
+    if not widths:
+        return anchor.join(postings.limit(0).select("doc", "pos"), F.lit(False)).select("doc", "item", "item_id", "pos")
+
+    def beside(hits: DataFrame) -> DataFrame:
+        return hits.withColumn("strip", F.explode(F.expr("sequence(pos DIV width - 1, pos DIV width + 1)")))
+
+    def stripped(places: DataFrame) -> DataFrame:
+        strips = F.array(*[F.struct(F.lit(w).alias("width"), F.expr(f"pos DIV {w}").alias("strip")) for w in widths])
+        return places.select("doc", "term", F.col("pos").alias("at"), F.inline(strips))
+
+    keys = ["doc", "term", "width", "strip"]
+    within = F.abs(F.col("at") - F.col("pos")) <= F.col("slop")
+    hits = written(postings.join(bounded(anchor), "term").drop("term").withColumnRenamed("term2", "term"), "near_hits")
+    second = stripped(postings.join(bounded(anchor.select(F.col("term2").alias("term")).distinct()), "term", "left_semi"))
+    pairs = beside(hits).join(second, keys).filter(within).select("doc", "pos", "item", "item_id", "slop", "width", "n_terms").distinct()
+    pairs = written(pairs, "near_pairs")
+    near = stripped(postings.join(bounded(pairs.select("doc").distinct()), "doc", "left_semi"))
+    met = beside(pairs.join(bounded(terms.select("item", "term")), "item")).join(near, keys).filter(within)
+    counted = met.select("doc", "item", "item_id", "pos", "n_terms", "term").distinct().groupBy("doc", "item", "item_id", "pos", "n_terms").agg(
+        F.count(F.lit(1)).alias("met"))
     return counted.filter("met = n_terms").select("doc", "item", "item_id", "pos")
 
 
@@ -137,16 +160,33 @@ def index_both(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFr
     return build_index(docs, vocabulary), items
 
 
+def items_of(matches: DataFrame) -> DataFrame:
+    """(doc, n_items, items): how many items, and their ids joined."""
+    return matches.select("doc", "item_id").distinct().groupBy("doc").agg(
+        F.count("item_id").alias("n_items"),
+        F.concat_ws(",", F.sort_array(F.collect_list(F.col("item_id").cast("string")))).alias("items"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and doc (the document's key) per document."""
+    return exact(*index_both(docs.select(document_key().alias("doc"), "text"), benchmark), window)
+
+
+def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The columns of contamination, and the items near by: n_near, near_sha256; they do not decide on contaminated."""
     postings, items = index_both(docs.select(document_key().alias("doc"), "text"), benchmark)
+    near = items_of(proximity_matches(postings, items)).select("doc", F.col("n_items").alias("_n"), F.col("items").alias("_items"))
+    near = written(near, "near")
+    found = exact(postings, items, window)
+    return found.join(bounded(near), "doc", "left").select(
+        *found.columns, F.coalesce("_n", F.lit(0)).cast("long").alias("n_near"), sha256_of(F.coalesce("_items", F.lit(""))).alias("near_sha256"))
+
+
+def exact(postings: DataFrame, items: DataFrame, window: int) -> DataFrame:
     matches = written(phrase_matches(postings, items, window), "matches")
     places = matches.select("doc", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     hit = places.groupBy("doc").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = matches.select("doc", "item_id").distinct().groupBy("doc").agg(
-        F.count("item_id").alias("n_items"),
-        F.concat_ws(",", F.sort_array(F.collect_list(F.col("item_id").cast("string")))).alias("items"))
-    found = written(hit.join(named, "doc"), "hits")
+    found = written(hit.join(items_of(matches), "doc"), "hits")
     lengths = postings.filter(F.col("term") == END_TERM).select("doc", F.col("pos").cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return lengths.join(bounded(found), "doc", "left").select(

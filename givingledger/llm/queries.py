@@ -26,7 +26,7 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("doc")
+    return contamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("doc")
 
 
 def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:

@@ -75,6 +75,22 @@ def test_proximity(spark):
     assert {r.doc.doc_id for r in contamination.proximity_matches(postings, items, 5).collect()} == {1, 3}
 
 
+def test_proximity_is_reported(spark):
+    """Words inserted and reordered, a frequent anchor, a null id; words too far apart are not near."""
+    item = [f"k{i}" for i in range(20)]
+    apart = " ".join(item[:10] + ["x"] * 60 + item[10:])
+    rows = [(1, " ".join(w + " x" if i % 3 == 0 else w for i, w in enumerate(item))), (2, " ".join(reversed(item))), (3, apart),
+            (4, " ".join(item)), (5, "k0 " * 500), (None, " ".join(item[1:] + item[:1])), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, " ".join(item)), (8, "k0 k0"), (9, "unknown k1")], "item_id long, text string")
+    found = contamination.report(docs, benchmark)
+    assert found.columns[:6] == contamination.contamination(docs, benchmark).columns[:6]
+    near = {r.doc_id: (r.n_near, r.near_sha256) for r in found.collect()}
+    of = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert near == {1: (2, of("7,8")), 2: (2, of("7,8")), 3: (1, of("8")), 4: (2, of("7,8")), 5: (1, of("8")), None: (2, of("7,8")), 6: (0, of(""))}
+    assert llm_queries()["op2_decontamination"](spark, FOLDER).columns[-2:] == ["n_near", "near_sha256"]
+
+
 def expected_components(rows):
     sets, smallest = {}, {}
     for doc_id, text in rows:
