@@ -36,11 +36,18 @@ BASE = {
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"[0-9a-f]+",
 }
+# A private key: to its END line; where the next such line is another's or none comes, over the base64 that follows, in lines or
+# in words, quoted or with escaped line ends, with the fields before it. Possessive, so that a header without END costs one pass.
+GAP = r"""(?:[\s"'>|*\#,]|\\[nrt])*+"""
+PEM = (
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    rf"|(?:{GAP}(?:Proc-Type|DEK-Info|Version|Comment): ?(?:[^\n\\])*+)*+(?:{GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}})++"
+    rf"(?:{GAP}[A-Za-z0-9+/]++(?:={{1,2}}|(?=[ \t\"',]*(?:[\r\n\\]|\Z))))?)?")
 # Rules of this operator's own: known forms of keys.
 MORE = {
     "google": r"AIza[0-9A-Za-z_-]{35}",
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "pem": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
+    "pem": PEM,
     "repository": r"gh[pousr]_[A-Za-z0-9]{36,}",
     "chat": r"xox[abprs]-[A-Za-z0-9-]{10,}",
     "payment": r"[rs]k_live_[0-9a-zA-Z]{24,}",

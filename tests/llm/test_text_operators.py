@@ -147,6 +147,22 @@ def test_redaction(docs, no_docs):
     assert secrets.redacted(no_docs).collect() == []
 
 
+def test_redaction_takes_whole_private_keys(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = ["MIIEpQIBAAKCAQEA" + c * 48 for c in "qrstuv"] + ["Zk9+/w=="]
+    body = "\n".join(lines)
+    texts = [
+        (f"a\n{begin}\n{body}\n{end}\nb", "a\n[secret]\nb"), (f"a {begin}\n{body}\n\nplain words", "a [secret]\n\nplain words"),
+        (f"k = '{begin}\\n" + "\\n".join(lines) + f"\\n{end}\\n'", "k = '[secret]\\n'"),
+        (f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{body[:-30]}", "[secret]"),
+        (f"{begin}\n{body}\n{begin}\n{body}\n{end} c", "[secret]\n[secret] c"), (f"{begin} is how it begins", "[secret] is how it begins"),
+        (f"{begin}\n{body}\n-----BEGIN CERTIFICATE-----", "[secret]\n-----BEGIN CERTIFICATE-----"), (f"> {begin}\n> " + "\n> ".join(lines), "> [secret]"),
+        (f"{begin} {' '.join(lines)} and more", "[secret] and more"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redacted(docs).collect()} == {i: t for i, (_, t) in enumerate(texts)}
+
+
 def holds(query, text):
     if query is None or isinstance(query, str):
         return query is None or query in text
