@@ -12,6 +12,9 @@ of fixed meaning: navigation, comments, adverts) are observed as not content, in
 them. Fixed pseudo counts let a corpus without labelled pages get an answer. Features are of fixed kinds, so the counts have a
 bounded size.
 
+Scripts, forms' controls, drawings and media are dropped: raw text up to its own end tag, other elements up to theirs or to the
+end of their container. A self-closed svg or math is empty; the text of math and object is kept.
+
 Null or empty html: empty text. Cut-off pages: a tag without end is dropped, open elements end with the page. Repeated rows
 and null ids are kept row by row; only the listed columns are read. Very long pages take memory in proportion.
 """
@@ -36,7 +39,11 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*
 # Kinds of tags.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style template noscript title textarea select button iframe svg math object canvas video audio head".split())
+RAW = set("script style title textarea iframe".split())  # hold text up to their own end tag, else the rest of the page
+SKIPPED = set("template noscript select button svg canvas video audio".split())  # dropped whole, at most up to their container's end
+# Neither blocks nor dropped: their text belongs to the text around.
+INLINE |= set("object math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mspace mpadded mphantom menclose merror mmultiscripts mprescripts mtable mtr mtd semantics annotation annotation-xml maction".split())
+SVG_HTML = set("foreignobject desc title".split())  # elsewhere in svg, a block ends the svg
 BLOCKS = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 NOISY_TAGS = set("nav header footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = set("article main".split())
@@ -86,9 +93,13 @@ def tree(source: str) -> list[Node]:
     """Nodes in page order, parents first; node 0 is the page. Text leaves have the tag '#'."""
     nodes = [Node(-1, "html", ["tag:html"])]
     stack, leaf, in_link, at = [0], None, False, 0
+    dropped: list[str] = []  # the open skipped element and the open elements in it
+    inline: Counter = Counter()  # open inline elements
 
     def add_text(text: str) -> None:
         nonlocal leaf
+        if dropped:
+            return
         if leaf is None:
             if not text.strip():
                 return
@@ -110,16 +121,42 @@ def tree(source: str) -> list[Node]:
         if not tag or not match["shut"]:
             continue
         closing = bool(match["end"])
+        in_svg = bool(dropped) and dropped[0] == "svg"
+        if not closing and tag in RAW and not in_svg:
+            shut = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+            at = shut.end() if shut else len(source)
+            continue
+        if dropped:
+            if not closing:
+                broken = in_svg and tag in BLOCKS and not SVG_HTML & set(dropped)
+                if not broken and not (tag in CONTENT_TAGS and dropped[0] not in ("template", "noscript")):
+                    if tag not in VOID and not (in_svg and match["attributes"].endswith("/")):
+                        dropped.append(tag)
+                    continue
+                dropped.clear()
+            elif tag in dropped:
+                while dropped.pop() != tag:
+                    pass
+                continue
+            elif any(nodes[i].tag == tag for i in stack[1:]) or inline[tag]:
+                dropped.clear()  # ends with its container
+            else:
+                continue
+        if tag in RAW or tag == "head":
+            continue
         if tag in SKIPPED:
-            if not closing and tag != "head":
-                shut = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = shut.end() if shut else len(source)
+            if not closing and not (tag == "svg" and match["attributes"].endswith("/")):
+                dropped.append(tag)
             continue
         if tag == "br":
             add_text(" ")
             continue
         if tag in INLINE:
             in_link = not closing if tag == "a" else in_link
+            if tag not in VOID and not closing:
+                inline[tag] += 1
+            elif inline[tag]:
+                inline[tag] -= 1
             continue
         leaf = None
         if tag in VOID:

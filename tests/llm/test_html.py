@@ -35,6 +35,27 @@ def test_pages(source, expected):
     assert main_text(source, MODEL) == expected
 
 
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ("<article><p>a <svg width='1'/> b</p><p>c</p></article>", "a b\nc"),
+        ("<article><p>a <math/> b</p><p>c</p></article>", "a b\nc"),
+        ("<article><p>a <svg><g><path d='x'/><title>t</title><text>no</text></g></svg> b</p><p>c</p></article>", "a b\nc"),
+        ("<article><p>a <svg><g><p>b</p></article>", "a\nb"),
+        *[(f"<article><p>a <{t}>no</p><p>b</p><div><{t}>no</div><p>c</p></article>", "a\nb\nc") for t in ("button", "select", "video", "audio", "canvas", "noscript")],
+        ("<body><div><button>menu</div><article><p>a</p></article>", "a"),
+        ("<body><button>menu<article><p>a</p></article>", "a"),
+        ("<article><p>a <a href=x>l <svg><path></a> b</p></article>", "a l b"),
+        ("<article><p>a <button><div>no</div></button> b</p><p><template><p>no</p></template>c</p></article>", "a b\nc"),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p><object>c</object> d</p></article>", "so x=2 holds\nc d"),
+        ("<article><p>a</p><textarea>no</p><p>no", "a"),
+        ("<article><p>a <select><option>1<option>2</select> b</p></article>", "a b"),
+    ],
+)
+def test_skipped_elements_end(source, expected):
+    assert main_text(source, MODEL) == expected
+
+
 def test_marginals_are_those_of_the_whole_tree():
     nodes = [Node(-1, "html", []), Node(0, "div", ["a"]), Node(0, "p", ["b"]), Node(1, "#", ["c"]), Node(1, "#", ["b"]), Node(2, "#", [])]
     model = html_text.Model({"a": 0.7, "b": -1.1, "c": 0.4}, (((0.8, 0.2), (0.3, 0.7)), ((0.6, 0.4), (0.1, 0.9))))
