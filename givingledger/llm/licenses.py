@@ -1,4 +1,7 @@
-"""License scans: an exact set-similarity join of text blocks (lines) with license templates, by containment.
+"""License scans: an exact set-similarity join of text blocks with license templates, by containment.
+
+Blocks are the lines, and for notices broken over lines also overlapping windows of words over the whole text: every stretch as
+long as the longest template lies whole in one of them. A label found in a line is not given for windows again.
 
 A line meets a template if it holds at least `threshold` of the template's distinct words. Words are ordered by how often the
 whole corpus has them, rarest first. A line can only meet a template if it holds one of the template's prefix words (the
@@ -13,6 +16,8 @@ Null and empty text: no words, no labels, score 0. Repeated rows are judged one
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +40,10 @@ TEMPLATES = {
     "mpl-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
+# Words of a template that may not be missing, by which it differs from other licenses' notices.
+NAMED = {"agpl-3.0": ["affero", "3"], "mpl-2.0": ["mozilla", "2"]}
+# Templates of ten words or more may lack one; a shorter one consists of what tells it apart.
+THRESHOLD = 0.9
 
 
 def quoted(words: list[str]) -> str:
@@ -64,8 +73,8 @@ def phrase_places() -> Column:
         ELSE CAST(array() AS array<struct<place:int,label:string>>) END""")
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = 0.95) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and blocks: (line, label, share) matches."""
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and blocks: matches (line or first word, label, share)."""
     spark = docs.sparkSession
     lowered = docs.select("doc_id", lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     known = {r["label"]: r["words"] for r in template_words(spark, templates).collect()}
@@ -75,25 +84,29 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     rows = [(label, sorted(words, key=rank.get), needs[label]) for label, words in known.items()]
     prefix = sorted({w for _, words, need in rows for w in words[: len(words) - need + 1]})
     shortest = min(needs.values())
-    sets = ", ".join(f"struct('{label}' AS label, array({quoted(words)}) AS words, {need} AS need)" for label, words, need in rows)
+    sets = ", ".join(f"struct('{label}' AS label, array({quoted(words)}) AS words, {need} AS need, CAST(array({quoted(NAMED.get(label, []))}) AS array<string>) AS named)" for label, words, need in rows)
     met = F.expr(f"""filter(transform(filter(lines, l -> size(l.words) >= {shortest} AND exists(l.words, w -> w IN ({quoted(prefix)}))),
-        l -> struct(l.line AS line, array_intersect(array({quoted(order)}), l.words) AS known)), l -> size(l.known) >= {shortest})""")
+        l -> struct(l.line AS line, l.word AS word, array_intersect(array({quoted(order)}), l.words) AS known)), l -> size(l.known) >= {shortest})""")
     # One pair for each (line, template) that shares a prefix word and can still share enough after its first common word.
     pairs = F.expr(f"""flatten(transform(candidates, l -> filter(transform(array({sets}), t -> struct(
-            l.line AS line, t.label AS label, size(t.words) AS n, t.need AS need, array_position(t.words, get(array_intersect(t.words, l.known), 0)) AS t1,
-            array_position(l.known, get(array_intersect(t.words, l.known), 0)) AS l1, size(l.known) AS held,
+            l.line AS line, l.word AS word, t.label AS label, size(t.words) AS n, t.need AS need, array_position(t.words, get(array_intersect(t.words, l.known), 0)) AS t1,
+            array_position(l.known, get(array_intersect(t.words, l.known), 0)) AS l1, size(l.known) AS held, size(array_except(t.named, l.known)) AS unnamed,
             size(array_intersect(t.words, l.known)) AS common)),
-        p -> p.t1 BETWEEN 1 AND p.n - p.need + 1 AND least(p.n - p.t1, p.held - p.l1) + 1 >= p.need AND p.common >= p.need)))""")
+        p -> p.t1 BETWEEN 1 AND p.n - p.need + 1 AND least(p.n - p.t1, p.held - p.l1) + 1 >= p.need AND p.common >= p.need AND p.unnamed = 0)))""")
     worded = lowered.select("doc_id", "text", split_words(F.col("text"), PUNCTUATION).alias("words"))
-    # Only texts with one of the prefix words are cut into lines.
-    line_sets = F.expr(f"""CASE WHEN exists(words, w -> w IN ({quoted(prefix)})) THEN transform(split(text, '\\n'),
-        (x, i) -> struct(i AS line, array_distinct(array_remove(split(x, '{PUNCTUATION}'), '')) AS words))
-        ELSE CAST(array() AS array<struct<line:int,words:array<string>>>) END""".replace("\\x", "\\\\x"))
+    # Only texts with one of the prefix words are cut into lines and windows.
+    step = max(len(list(filter(None, re.split(PUNCTUATION, t.lower())))) for t in templates.values())
+    line_sets = F.expr(f"""CASE WHEN exists(words, w -> w IN ({quoted(prefix)})) THEN concat(
+        transform(split(text, '\\n'), (x, i) -> struct(i AS line, CAST(NULL AS int) AS word, array_distinct(array_remove(split(x, '{PUNCTUATION}'), '')) AS words)),
+        transform(sequence(0, size(words) - 1, {step}), i -> struct(CAST(NULL AS int) AS line, i AS word, array_distinct(slice(words, i + 1, {2 * step})) AS words)))
+        ELSE CAST(array() AS array<struct<line:int,word:int,words:array<string>>>) END""".replace("\\x", "\\\\x"))
     found = (
         worded.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
         .select("doc_id", F.size("words").cast("long").alias("n_words"), phrase_places().alias("places"), line_sets.alias("lines"))
         .withColumn("candidates", met)
-        .withColumn("blocks", F.transform(pairs, lambda p: F.struct(p["line"], p["label"], (p["common"] / p["n"]).alias("share"))))
+        .withColumn("pairs", pairs)
+        .withColumn("pairs", F.expr("filter(pairs, p -> p.line IS NOT NULL OR NOT exists(pairs, q -> q.line IS NOT NULL AND q.label = p.label))"))
+        .withColumn("blocks", F.transform("pairs", lambda p: F.struct(p["line"], p["word"], p["label"], (p["common"] / p["n"]).alias("share"))))
     )
     labels = F.array_distinct(F.transform("places", lambda x: x["label"]))
     more = F.transform("blocks", lambda x: x["label"])

@@ -113,6 +113,20 @@ def test_licenses(spark, docs, which):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_licenses_broken_over_lines(spark):
+    texts = ["x " * 100 + "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and",
+             "Redistribution and use in source and binary\nforms, with or without\n * modification, are permitted", "Released\n" + "x " * 100 + "under the MIT License"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in found} == {0: "mit-text", 1: "bsd", 2: ""}
+
+
+def test_licenses_with_a_word_missing(spark):
+    texts = ["Permission is hereby granted, free of charge, to a person obtaining a copy of this software", "Redistribution in source and binary forms,\nwith or without modification, are permitted",
+             "licensed under the GNU General Public License, version 3", "licensed under the GNU Affero General Public License 3", "subject to the terms of the Sun Public License, v. 2.0"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: set(filter(None, r.labels.split(","))) - {"gpl"} for r in found} == {0: {"mit-text"}, 1: {"bsd"}, 2: {"gpl-3.0"}, 3: {"agpl-3.0"}, 4: set()}
+
+
 def test_licenses_of_nothing(no_docs):
     assert licenses.scan(no_docs).collect() == []
 
