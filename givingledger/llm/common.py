@@ -33,6 +33,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of `taken` is called so, in any case."""
+    used, found = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        found.append(name)
+    return found
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from givingledger.llm import (contamination, html_text, language, licenses, near_duplicates, packing, quality, secrets,
-                              token_files, url_filters)
+from givingledger.llm import (contamination, conversations, fingerprints, html_text, language, licenses, near_duplicates, packing,
+                              periodic_runs, quality, secrets, token_files, url_filters)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,13 +62,26 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_report(table(spark, folder, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.report(table(spark, folder, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.report(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_best_fit_packing, op2_decontamination, op3_secret_scans, op4_license_scans, op5_language_id, op6_url_filters,
-             op7_token_files, op8_ngram_jaccard_join, op9_html_extraction, op10_quality_rules, pipeline)
+             op7_token_files, op8_ngram_jaccard_join, op9_html_extraction, op10_quality_rules,
+             op11_document_fingerprints, op12_conversation_repair, op13_periodic_runs, pipeline)
     return {f.__name__: f for f in found}
 
 
