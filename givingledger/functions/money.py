@@ -22,13 +22,23 @@ def valued_amount() -> Column:
     )
 
 
+# Differences below this many units, in ten-thousandths and over the smallest base, fit a bigint.
+NARROW = 90_000_000_000
+PERCENT = "decimal(38,2)"
+
+
 def percent_change(new: str, base: str) -> str:
     """Change from ``base`` in percent, with two decimals.
 
-    The ratio is cut after four decimals, not rounded. NULL for a zero base.
+    The ratio is cut after four decimals, not rounded. NULL for a zero base. ``DIV`` gives a bigint, which is enough below ``NARROW``;
+    above, the remainder is taken off first, so that the quotient is whole in decimals. A ratio of more than 32 digits in
+    ten-thousandths is an overflow error, never another number.
     """
-    ten_thousandths = f"({new} - {base}) * 10000 DIV nullif({base}, 0)"
-    return f"CAST({ten_thousandths} AS decimal(19,0)) * 0.01BD"
+    change, divisor = f"({new} - {base})", f"nullif({base}, 0)"
+    units = f"CAST({change} AS decimal(30,4)) * 10000BD"
+    narrow = f"CAST({change} * 10000 DIV {divisor} AS decimal(36,0))"
+    wide = f"CAST(({units} - {units} % {divisor}) / {divisor} AS decimal(36,0))"
+    return f"CAST(CASE WHEN abs({change}) < {NARROW} THEN {narrow} ELSE {wide} END * 0.01BD AS {PERCENT})"
 
 
 def two_decimals(amount: str) -> str:

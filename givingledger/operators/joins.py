@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +21,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, *spread_by: str) -> Data
     # Always 0, in a form that the optimizer does not fold into a constant.
     grouped_table = table.withColumn("_Group", F.pmod(F.hash(key), F.lit(1)))
     return grouped_rows.join(grouped_table, [key, "_Group"], "left").drop("_Group")
+
+
+def union_of(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all frames; of a single one, that frame with its layout."""
+    return reduce(DataFrame.unionByName, frames)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from givingledger.functions.money import two_decimals
+from givingledger.functions.money import TOTAL, two_decimals
 from givingledger.functions.text import comparable, sorted_join
 from givingledger.params import ExportParams
 from givingledger.sources.tables import DonorTables
@@ -24,21 +24,23 @@ def title_totals(
     """What each donor gave per purpose (campaign, fund, appeal) and title.
 
     ``purposes`` maps a purpose to the id column it uses and the table that gives ids a title.
-    The donations are read once for all purposes. Gifts are summed per donor and id before titles
-    are looked up, so the join carries sums and not gifts. Equal titles add up; of titles that
+    The donations are read once for all purposes. Gifts are summed per donor and combination of ids
+    first, so that the first shuffle has at most one row for a gift and not one for each purpose;
+    then per donor and id, before titles are looked up, so the join carries sums and not gifts. Equal titles add up; of titles that
     differ in case only, the first in text order is shown.
     """
+    keys = [key for key, _ in purposes.values()]
     tagged_ids = [
         F.struct(F.lit(name).alias("Purpose"), F.col(key).alias("ID"))
         for name, (key, _) in purposes.items()
     ]
+    gifts = donations.filter(F.col(DONOR).isNotNull()).groupBy(DONOR, *keys).agg(F.sum("Amount").alias("Amount"))
     per_id = (
-        donations.filter(F.col(DONOR).isNotNull())
-        .select(DONOR, "Amount", F.explode(F.array(*tagged_ids)).alias("Given"))
+        gifts.select(DONOR, "Amount", F.explode(F.array(*tagged_ids)).alias("Given"))
         .select(DONOR, "Amount", "Given.Purpose", "Given.ID")
         .filter(F.col("ID").isNotNull())
         .groupBy(DONOR, "Purpose", "ID")
-        .agg(F.sum("Amount").alias("Donated"))
+        .agg(F.sum("Amount").cast(TOTAL).alias("Donated"))
     )
     titles = reduce(
         DataFrame.unionByName,

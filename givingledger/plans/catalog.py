@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from givingledger.functions.money import percent_change
 from givingledger.names import (
     ALL_DONOR_AVERAGE,
     EMPTY_TEXT_COLUMNS,
@@ -35,15 +36,19 @@ from givingledger.plans.export import (
     placeholder_columns,
 )
 from givingledger.sources.donor_ids import donor_ids_from_documents
+from givingledger.sources.layout import lay_out_tables
 from givingledger.sources.sample_views import (
+    EXTREME_AMOUNTS,
     ID_DOCUMENTS,
     LISTED_DONORS,
     LISTED_TEXT_DONORS,
     NO_DONORS,
     TEXT_DONORS,
     donor_tables,
+    guid_tables,
     sample_query,
 )
+from givingledger.sources.scratch import new_folder
 from givingledger.sources.tables import SCHEMAS, DonorTables, table_schema
 
 DONOR = "DonorProfileID"
@@ -181,7 +186,8 @@ def _sentence(tables: DonorTables, params: ExportParams) -> DataFrame:
 def _fund_flag(tables: DonorTables, params: ExportParams) -> DataFrame:
     flag = contacts.donor_advised_fund(params)
     resolved = contacts.resolved_contacts(tables.donors, tables)
-    return _pick(resolved, {"IsDonorAdvisedFund": flag})
+    flagged = contacts.with_fund_organization(resolved, tables, params)
+    return _pick(flagged, {"IsDonorAdvisedFund": flag})
 
 
 def _resolution(
@@ -199,6 +205,23 @@ def _notes(tables: DonorTables, params: ExportParams) -> DataFrame:
     return _pick(noted, {"Notes": note_column()})
 
 
+def _guid_query(build: Callable[[DonorTables], DataFrame]) -> Query:
+    return lambda spark, folder: build(guid_tables(spark, folder))
+
+
+def _laid_out_export(spark: SparkSession, folder: str) -> DataFrame:
+    """The export over tables laid out by donor, written first."""
+    root = new_folder(spark, "layout")
+    prefix = root.rsplit("/", 1)[1].replace("-", "_") + "_"
+    return donor_export(lay_out_tables(donor_tables(spark, folder), spark, root, prefix, buckets=8), SAMPLE_PARAMS)
+
+
+def _extreme_percent_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Percent changes between amounts of all sizes, up to 15 digits against a ten-thousandth."""
+    return sample_query(spark, folder, EXTREME_AMOUNTS).select(
+        "OrderKey", F.expr(percent_change("New", "Base")).cast("decimal(34,2)").alias("PercentChange"))
+
+
 def catalog() -> dict[str, Query]:
     return {
         "scan_donor_base": _query(_scan_donor_base),
@@ -282,6 +305,12 @@ def catalog() -> dict[str, Query]:
         ),
         "donor_export": _query(donor_export),
         "donor_export_listed": _listed_export,
+        "donor_export_laid_out": _laid_out_export,
+        "default_parent_guid": _guid_query(
+            lambda t: contacts.default_parent(t.donor_links, t.guids).select(DONOR, "ParentID", "ParentSystemClassID")
+        ),
+        "parent_contacts_guid": _guid_query(contacts.parent_contacts),
+        "percent_changes_extreme": _extreme_percent_changes,
         "percent_changes_later": _giving(lambda p: giving.percent_change_columns(), **LATER),
         "donor_rollup_later": _giving(
             lambda p: {**giving.giving_columns(p), **giving.window_label_columns(p)}, **LATER

@@ -23,6 +23,7 @@ from givingledger.operators.giving import (
     join_giving,
     window_label_columns,
 )
+from givingledger.operators.joins import union_of
 from givingledger.operators.labels import gift_labels, gift_purposes
 from givingledger.operators.notes import note_column, with_notes
 from givingledger.operators.peers import peer_averages
@@ -72,14 +73,15 @@ def donor_export(
     links; otherwise the first one counts.
     """
     donors = keep_listed(tables.donors, donor_ids)
-    own_gifts = keep_listed(tables.donations, donor_ids)
-    history = giving_history(own_gifts, params)
-    labels = gift_labels(own_gifts, gift_purposes(tables), params.ignore_case)
+    own_gifts = [keep_listed(part, donor_ids) for part in tables.parts("donations")]
+    purposes = gift_purposes(tables)
+    rollup = union_of([donor_rollup(giving_history(part, params)) for part in own_gifts])
+    labels = union_of([gift_labels(part, purposes, params.ignore_case) for part in own_gifts])
 
     # These four share the layout by donor; the frames after them are single rows.
     contacts = contact_block(donors, tables, params, strict)
-    rows = join_giving(contacts, donor_rollup(history)).join(labels, DONOR, "left")
-    rows = with_notes(rows, tables.notes, tables.users)
+    rows = join_giving(contacts, rollup).join(labels, DONOR, "left")
+    rows = with_notes(rows, tables.parts("notes"), tables.users)
     averages = peer_averages(tables.donations, params).select(ALL_DONOR_AVERAGE, TOP_DONOR_AVERAGE)
     for single_row in (
         campaign_summary(tables.campaigns, tables.donations, params),

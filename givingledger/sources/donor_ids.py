@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = "GuidList"
-ELEMENTS = "Guid array<string>"
+ELEMENT = "Guid"
+ELEMENTS = f"{ELEMENT} array<string>"
+COMMENTS = r"(?s)<!--.*?-->"
 
 
 def donor_ids_from_documents(documents: DataFrame, xml: str, id_type: str = "string") -> DataFrame:
@@ -20,9 +22,22 @@ def donor_ids_from_documents(documents: DataFrame, xml: str, id_type: str = "str
 
 
 def read_donor_ids(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
-    """The same from XML files."""
-    lists = spark.read.format("xml").option("rowTag", ROOT).schema(ELEMENTS).load(path)
-    return _elements(lists.select(F.struct("Guid").alias("List")), id_type)
+    """The same from XML files, which many tasks can read: a file is cut after each ``Guid`` element.
+
+    The root is checked apart: files whose first element is another than ``GuidList`` give no rows. An element other than ``Guid`` within
+    a list is an error, since its ids might be meant or not, and a list without ids means all donors.
+    """
+    chunks = spark.read.option("lineSep", f"</{ELEMENT}>").text(path)
+    bare = F.regexp_replace("value", COMMENTS, "")
+    pieces = chunks.select(F.col("_metadata.file_path").alias("File"), bare.alias("Text"))
+    opens = F.regexp_like("Text", F.lit(rf"^[\s\uFEFF]*(<\?[^>]*>\s*)*<{ROOT}[\s/>]"))
+    other = F.regexp_extract("Text", rf"<(?!/?{ROOT}[\s/>])(?!{ELEMENT}[\s/>])(?!\?)[^>]*>", 0)
+    files = pieces.groupBy("File").agg(F.max(opens.cast("int")).alias("IsList"), F.max((other != "").cast("int")).alias("HasOther"))
+    lists = files.filter("IsList = 1").select(
+        "File", F.when(F.col("HasOther") == 1, F.raise_error(F.concat(F.lit("other elements in "), F.col("File"))).cast("int")).alias("Checked"))
+    found = F.regexp_extract_all("Text", F.lit(rf"<{ELEMENT}\s*/>|<{ELEMENT}(?:\s[^>]*)?>[^<]*$"), 0)
+    ids = pieces.select("File", F.explode(found).alias("Tagged")).join(F.broadcast(lists), "File").filter("Checked IS NULL")  # a row for each file, which the driver lists anyway
+    return _plain(ids.select(F.regexp_extract("Tagged", ">([^<]*)$", 1).alias("ProfileID")), id_type)
 
 
 def plain_id(value: Column) -> Column:
@@ -31,6 +46,9 @@ def plain_id(value: Column) -> Column:
 
 
 def _elements(lists: DataFrame, id_type: str) -> DataFrame:
-    found = lists.select(F.explode("List.Guid").alias("ProfileID"))
+    return _plain(lists.select(F.explode(f"List.{ELEMENT}").alias("ProfileID")), id_type)
+
+
+def _plain(found: DataFrame, id_type: str) -> DataFrame:
     known = F.nullif(plain_id(F.col("ProfileID")), F.lit(""))
     return found.select(known.cast(id_type).alias("ProfileID"))

@@ -8,8 +8,9 @@ type. CASE expressions only turn some values into NULL or zero to reach the edge
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from givingledger.sources.tables import DonorTables
+from givingledger.sources.tables import DonorTables, table_schema
 
 SAMPLE_SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
@@ -124,6 +125,14 @@ TEXT_DONORS = """
 LISTED_TEXT_DONORS = """
     SELECT '  ' || upper(c_name) || ' ' AS ProfileID FROM {customer}
     WHERE c_mktsegment = 'BUILDING'"""
+# Amounts of up to 15 digits before the point, and bases down to a ten-thousandth, below zero and zero.
+EXTREME_AMOUNTS = """
+    SELECT o_orderkey AS OrderKey,
+      CAST(CASE o_orderkey % 5 WHEN 0 THEN 900000000000000 WHEN 1 THEN -900000000000000 WHEN 2 THEN 90000000001
+        ELSE 0 END + CAST(o_totalprice AS DECIMAL(19,4)) AS DECIMAL(29,4)) AS New,
+      CAST(CASE o_orderkey % 7 WHEN 0 THEN 0.0001 WHEN 1 THEN -0.0003 WHEN 2 THEN 0 WHEN 3 THEN 123456789012345.6789
+        ELSE CAST(o_totalprice AS DECIMAL(19,4)) END AS DECIMAL(29,4)) AS Base
+    FROM {orders}"""
 ID_DOCUMENTS = """
     SELECT CASE WHEN o_orderkey % 10 <> 0 THEN '<GuidList><Guid>' || CAST(o_custkey AS STRING)
       || '</Guid><Guid> ' || CAST(o_orderkey AS STRING) || ' </Guid></GuidList>' END AS Document
@@ -131,6 +140,10 @@ ID_DOCUMENTS = """
 
 
 
+# Sample keys as GUID text that sorts like them; both halves of it differ between neighbours.
+GUID_TEXT = "concat(lpad(lower(hex(({0} + 1073741824) DIV 16)), 8, '0'), '-0000-4000-8000-', lpad(lower(hex(pmod({0} + 1073741824, 16))), 12, '0'))"
+
+
 def sample_query(spark: SparkSession, folder: str, text: str) -> DataFrame:
     """A SELECT of this module over the sample files."""
     used = {
@@ -143,3 +156,14 @@ def sample_query(spark: SparkSession, folder: str, text: str) -> DataFrame:
 
 def donor_tables(spark: SparkSession, folder: str) -> DonorTables:
     return DonorTables(lambda name: sample_query(spark, folder, SAMPLE_VIEWS[name]))
+
+
+def guid_tables(spark: SparkSession, folder: str) -> DonorTables:
+    """The same tables with GUID text for ids."""
+    plain = donor_tables(spark, folder)
+
+    def load(name: str) -> DataFrame:
+        ids = [c for c in table_schema(name).names if (c.endswith("ID") or c == "CreatedBy") and c != "ParentSystemClassID"]
+        return getattr(plain, name).withColumns({c: F.expr(f"CASE WHEN {c} IS NOT NULL THEN {GUID_TEXT.format(c)} END") for c in ids})
+
+    return DonorTables(load, guids=True)

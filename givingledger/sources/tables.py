@@ -40,10 +40,25 @@ SCHEMAS = {
 
 
 class DonorTables:
-    """The base tables as attributes, named as in ``SCHEMAS``; each is loaded when first used."""
+    """The base tables as attributes, named as in ``SCHEMAS``; each is loaded when first used.
 
-    def __init__(self, load: Callable[[str], DataFrame]) -> None:
+    ``guids`` says that all ids are known to be GUID text in its usual form, in lower case.
+    ``load_parts`` gives a table as parts that share no donor, where it is stored so.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        guids: bool = False,
+        load_parts: Callable[[str], list[DataFrame]] | None = None,
+    ) -> None:
         self._load = load
+        self._load_parts = load_parts
+        self.guids = guids
+
+    def parts(self, name: str) -> list[DataFrame]:
+        """The table in parts that share no donor; work by donor can be done part by part."""
+        return [getattr(self, name)] if self._load_parts is None else self._load_parts(name)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:

@@ -19,6 +19,7 @@ from givingledger.names import (
     ZERO_COLUMNS,
 )
 from givingledger.sources.sample_views import (
+    EXTREME_AMOUNTS,
     ID_DOCUMENTS,
     LISTED_DONORS,
     SAMPLE_SCHEMAS,
@@ -77,6 +78,7 @@ def named(columns: dict[str, str]) -> str:
 CTES: dict[str, str] = {f"v_{name}": sample(text) for name, text in SAMPLE_VIEWS.items()}
 CTES |= {
     "listed": sample(LISTED_DONORS),
+    "extreme_amounts": sample(EXTREME_AMOUNTS),
     "documents_of_ids": sample(ID_DOCUMENTS),
     "fw": f"""
         SELECT k, {FISCAL_START} - to_years(k) AS s,
@@ -84,10 +86,8 @@ CTES |= {
         FROM (SELECT unnest(range(10))::INT AS k)""",
     "gifts": f"""
         SELECT d.*, fw.k,
-          CASE WHEN IsStock AND StockFairMarketValue IS NOT NULL
-                AND NOT coalesce(InKind AND Amount = 0 AND InKindFairMarketValue > 0, FALSE)
-              THEN StockFairMarketValue
-            WHEN InKind AND Amount = 0 AND InKindFairMarketValue > 0 THEN InKindFairMarketValue
+          CASE WHEN InKind AND Amount = 0 AND InKindFairMarketValue > 0 THEN InKindFairMarketValue
+            WHEN IsStock AND StockFairMarketValue IS NOT NULL THEN StockFairMarketValue
             ELSE Amount END AS Valued,
           CASE WHEN month(DonatedOn) >= {FISCAL_MONTH} THEN year(DonatedOn)
             ELSE year(DonatedOn + INTERVAL {FISCAL_MONTH - 1} MONTH) END AS GivingYear
@@ -438,6 +438,32 @@ BODIES = {
     "donor_export_listed": f"""
         SELECT * FROM ({EXPORT}) WHERE DonorProfileID IN (SELECT ProfileID FROM listed)""",
 }
+
+
+def guid(key: str) -> str:
+    number = f"({key} + 1073741824)"
+    return f"""CASE WHEN {key} IS NOT NULL THEN lpad(lower(hex({number} // 16)), 8, '0')
+      || '-0000-4000-8000-' || lpad(lower(hex({number} % 16)), 12, '0') END"""
+
+
+# The quotient in whole numbers of 128 bits, which cut towards zero like the original.
+BODIES |= {
+    "donor_export_laid_out": EXPORT,
+    "default_parent_guid": f"""
+        SELECT {guid("DonorProfileID")} AS DonorProfileID, {guid("ParentID")} AS ParentID, ParentSystemClassID
+        FROM parents""",
+    "parent_contacts_guid": f"""
+        SELECT {guid("ParentID")} AS ParentID, {guid("min(a)")} AS ParentAddressID, {guid("min(p)")} AS ParentPhoneNumberID,
+          {guid("min(e)")} AS ParentEmailAddressID
+        FROM (SELECT ParentID, AddressID AS a, NULL AS p, NULL AS e FROM v_address_links WHERE IsDefault
+          UNION ALL SELECT ParentID, NULL, PhoneNumberID, NULL FROM v_phone_links WHERE IsDefault AND PhoneNumberID IS NOT NULL
+          UNION ALL SELECT ParentID, NULL, NULL, EmailAddressID FROM v_emails)
+        WHERE ParentID IS NOT NULL GROUP BY ParentID""",
+    "percent_changes_extreme": """
+        SELECT OrderKey, (((((New - Base) * 10000)::HUGEINT * 10000) // nullif((Base * 10000)::HUGEINT, 0))::DECIMAL(36,0)
+          * 0.01)::DECIMAL(34,2) AS PercentChange
+        FROM extreme_amounts""",
+}
 BODIES["donor_filter_by_ids_nonempty"] = BODIES["donor_filter_by_ids"]
 
 
