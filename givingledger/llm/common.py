@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from givingledger.sources.scratch import new_folder
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="givingledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def slices(batches: Iterable, rows: int) -> Iterator:
+    """Batches (or arrays, or tuples of arrays) in stretches of at most `rows`; what a batch took is given back after it."""
+    for batch in batches:
+        many = isinstance(batch, tuple)
+        n = len(batch[0]) if many else len(batch) if isinstance(batch, pa.Array) else batch.num_rows
+        for start in range(0, max(n, 1), rows):
+            yield tuple(c.slice(start, rows) for c in batch) if many else batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from givingledger.llm.common import PUNCTUATION, lower_ascii, sha256_of, split_words, written
+from givingledger.llm.common import PUNCTUATION, fresh_names, lower_ascii, sha256_of, split_words, written
 
 WINDOW = 13
 INSERTED = 8  # words that a proximity match may hold besides the item's
@@ -197,5 +197,6 @@ def exact(postings: DataFrame, items: DataFrame, window: int) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated; same columns."""
-    bad = written(contamination(docs, benchmark).filter("contaminated").select(F.col("doc").alias("_key")).distinct(), "contaminated")
-    return docs.withColumn("_key", document_key()).join(bounded(bad), "_key", "left_anti").drop("_key")
+    mine, key = fresh_names(docs.columns, "key", "bad_key")
+    bad = written(contamination(docs, benchmark).filter("contaminated").select(F.col("doc").alias(key)).distinct(), "contaminated")
+    return docs.withColumn(mine, document_key()).join(bounded(bad), F.col(mine).eqNullSafe(F.col(key)), "left_anti").drop(mine)

@@ -12,6 +12,10 @@ of fixed meaning: navigation, comments, adverts) are observed as not content, in
 them. Fixed pseudo counts let a corpus without labelled pages get an answer. Features are of fixed kinds, so the counts have a
 bounded size.
 
+A quote begins a value only after "=", as in browsers. Class words of readers' comments always tell of noise, also at an `article`;
+other words never do at an `article` or `main`. A noisy element that wraps a page's outermost `article` or `main` is no noise if the page
+has none outside such elements.
+
 Scripts, forms' controls, drawings and media are dropped: raw text up to its own end tag, other elements up to theirs or to the
 end of their container. A self-closed svg or math is empty; the text of math and object is kept.
 
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?P<shut>>|\Z)|<[!?/][^>]*(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>=]|=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*)?)*+)(?P<shut>>|\Z)|<[!?/][^>]*(?:>|\Z)""",
     re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 # Kinds of tags.
@@ -48,6 +52,7 @@ BLOCKS = set("address article aside blockquote body center dd details dialog div
 NOISY_TAGS = set("nav header footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = set("article main".split())
 NOISY_WORDS = set("ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner nav navigation navbar menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended comment comments disqus reply replies respond share sharing social cookie cookies consent notice alert popup modal newsletter subscribe signup login form search pagination pager copyright legal disclaimer toolbar skip".split())
+COMMENT_WORDS = set("comment comments disqus reply replies respond".split())
 CONTENT_WORDS = set("article articlebody content entry main post story".split())
 # An element that begins ends the open ones named here, up to its own container.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -75,7 +80,9 @@ def element_features(tag: str, attributes: str) -> list[str]:
     found = [f"tag:{tag if tag in BLOCKS else 'other'}"]
     if attributes:
         words = set(re.findall(r"[a-z]+", " ".join("".join(m[1:]) for m in ATTRIBUTE.findall(attributes)).lower()))
-        if words & NOISY_WORDS:
+        if words & COMMENT_WORDS:
+            found.append("words:comments")
+        elif words & NOISY_WORDS and tag not in CONTENT_TAGS:
             found.append("words:noisy")
         elif words & CONTENT_WORDS:
             found.append("words:content")
@@ -176,28 +183,53 @@ def tree(source: str) -> list[Node]:
                 break
         nodes.append(Node(stack[-1], tag, element_features(tag, match["attributes"])))
         stack.append(len(nodes) - 1)
-    wraps = [False] * len(nodes)
-    for i in range(len(nodes) - 1, -1, -1):
-        node = nodes[i]
+    told_apart, below = wrappers(nodes), [False] * len(nodes)
+    for i, node in enumerate(nodes):
+        below[i] = node.parent >= 0 and below[node.parent]
         if node.tag == "#":
             node.features = leaf_features(node, nodes[node.parent].tag)
-        elif not wraps[i] and (node.tag in NOISY_TAGS or "words:noisy" in node.features):
-            node.features = [OBSERVED]
-        if node.parent >= 0:
-            wraps[node.parent] |= wraps[i] or node.tag in CONTENT_TAGS
+        elif (noisy(node) and i not in told_apart) or (below[i] and node.tag in CONTENT_TAGS):
+            node.features, below[i] = [OBSERVED], True
     return nodes
 
 
+def noisy(node: Node) -> bool:
+    return node.tag in NOISY_TAGS or "words:noisy" in node.features or "words:comments" in node.features
+
+
+def wrappers(nodes: list[Node]) -> set[int]:
+    """Noisy elements around a page's outermost `article` or `main`, if it has none outside noisy elements and comments."""
+    inside, hidden, found = [False] * len(nodes), [False] * len(nodes), []
+    for i, node in enumerate(nodes):
+        if node.parent >= 0:
+            up = nodes[node.parent]
+            inside[i] = inside[node.parent] or up.tag in CONTENT_TAGS
+            hidden[i] = hidden[node.parent] or noisy(up)
+        if node.tag in CONTENT_TAGS and not inside[i] and "words:comments" not in node.features:
+            if not hidden[i]:
+                return set()
+            found.append(i)
+    around: set[int] = set()
+    for i in found:
+        above, up = [], nodes[i].parent
+        while up >= 0:
+            above.append(up)
+            up = nodes[up].parent
+        if not any("words:comments" in nodes[k].features for k in above):
+            around.update(above)
+    return around
+
+
 def marked_labels(nodes: list[Node]) -> list[bool] | None:
     """Labels of a page that marks its main text, else None."""
     if not any(n.tag in CONTENT_TAGS for n in nodes):
         return None
-    inside, noisy = [False] * len(nodes), [False] * len(nodes)
+    inside, noise = [False] * len(nodes), [False] * len(nodes)
     for i, node in enumerate(nodes):
         up = node.parent
-        noisy[i] = (up >= 0 and noisy[up]) or OBSERVED in node.features
+        noise[i] = (up >= 0 and noise[up]) or OBSERVED in node.features
         inside[i] = (up >= 0 and inside[up]) or node.tag in CONTENT_TAGS
-    return [a and not b for a, b in zip(inside, noisy, strict=True)]
+    return [a and not b for a, b in zip(inside, noise, strict=True)]
 
 
 @dataclass(frozen=True)

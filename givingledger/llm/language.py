@@ -1,28 +1,35 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
-Training counts n-grams of a bounded, hash-chosen sample of labelled rows. The log-probability matrix (languages x
-buckets, bounded by `max_languages` and `buckets`) is broadcast; texts are scored in Arrow batches with numpy.
+Training counts n-grams of a bounded, hash-chosen sample of labelled rows. The log-probability matrix (languages x buckets) is
+broadcast in blocks of at most `block` languages; texts are scored in Arrow batches with numpy, block by block, and the best of all
+blocks is exact, since each gives its best total and its share of the sum. Only texts go into Python, and only results come back.
 Weights are whole numbers (log probabilities in 2^-20), so that scores do not depend on batches or partitions.
 
 Null text, and text without a letter: `und`, score 0. Ties: the smallest language name. Rows are independent, so repeated
-rows get repeated results; other columns are never read. Without any labelled row everything is `und`.
+rows get repeated results; other columns are never read, whatever their names. Without any labelled row everything is `und`, and
+`accepted`, which would drop all documents then, raises.
 Very long texts are scored in segments of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from givingledger.llm.common import fresh_names, slices
+
 ORDERS = (2, 3)
 SCALE = float(1 << 20)
 SEGMENT = 1 << 17
 UNKNOWN = "und"
+ROWS = 500
+BEST = "struct<spelled:boolean,lang:string,total:bigint,odds:double>"
 
 
 @dataclass(frozen=True)
@@ -78,29 +85,32 @@ def grams(points: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[tupl
         yield owners[:n][inside], hashed(points, order, buckets)[inside]
 
 
-def fit(docs: DataFrame, buckets: int = 1 << 14, rows_per_language: int = 4000, max_languages: int = 256) -> LanguageModel:
+def fit(docs: DataFrame, buckets: int = 1 << 14, rows_per_language: int = 4000, block: int = 256) -> list[LanguageModel]:
     """Learns from (doc_id, text, lang) rows with text and lang; at most about `rows_per_language` of each language.
 
-    The sample takes the rows whose hashed id falls below a share; ids and languages alone decide.
+    The sample takes the rows whose hashed id falls below a share; ids and languages alone decide. One model for each block of languages,
+    in the order of their names.
     """
     rows = docs.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    totals = rows.groupBy("lang").count().orderBy("lang").limit(max_languages + 1).collect()
-    if len(totals) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    totals = rows.groupBy("lang").count().orderBy("lang").collect()
+    everything = sum(r["count"] for r in totals)
+    return [fit_block(rows, totals[i : i + block], everything, buckets, rows_per_language) for i in range(0, len(totals), block)]
+
+
+def fit_block(rows: DataFrame, totals: list, everything: int, buckets: int, rows_per_language: int) -> LanguageModel:
     languages = [r["lang"] for r in totals]
-    if not languages:
-        return LanguageModel([], np.zeros((0, buckets), dtype=np.int64), np.zeros(0, dtype=np.int64))
     place = {name: i for i, name in enumerate(languages)}
     share = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], min(1.0, rows_per_language / r["count"]))])
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, found = letter_table(), np.zeros(len(place) * buckets, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             classes = np.array([place[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
             for points, owners in segments(batch.column("text").to_pylist(), letters):
                 for owner, bucket in grams(points, owners, buckets):
-                    found += np.bincount(classes[owner] * buckets + bucket, minlength=len(found))
+                    cells, n = np.unique(classes[owner] * buckets + bucket, return_counts=True)
+                    found[cells] += n
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["cell", "n"])
 
@@ -110,10 +120,11 @@ def fit(docs: DataFrame, buckets: int = 1 << 14, rows_per_language: int = 4000,
     counts = counts.reshape(len(languages), buckets)
     weights = np.rint(np.log(counts / counts.sum(axis=1, keepdims=True)) * SCALE).astype(np.int64)
     prior = np.array([r["count"] for r in totals], dtype=float)
-    return LanguageModel(languages, weights, np.rint(np.log(prior / prior.sum()) * SCALE).astype(np.int64))
+    return LanguageModel(languages, weights, np.rint(np.log(prior / everything) * SCALE).astype(np.int64))
 
 
-def score_texts(texts: list[str | None], model: LanguageModel, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+def score_texts(texts: list[str | None], model: LanguageModel, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each text whether it has a letter, the place of its best language, that total, and the sum of all languages' odds to it."""
     buckets = model.weights.shape[1]
     totals = np.zeros((len(model.languages), len(texts)), dtype=np.int64)
     spelled = np.zeros(len(texts), dtype=bool)
@@ -124,29 +135,42 @@ def score_texts(texts: list[str | None], model: LanguageModel, letters: np.ndarr
                 starts = np.flatnonzero(np.diff(owner, prepend=-1))
                 for i in range(len(model.languages)):
                     np.add.at(totals[i], owner[starts], np.add.reduceat(model.weights[i][bucket], starts))
-    if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
     totals += model.priors[:, None]
     best = totals.argmax(axis=0)
-    odds = np.exp((totals - totals.max(axis=0)) / SCALE).sum(axis=0)
-    names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, spelled, strict=True)]
-    return names, np.where(spelled, 1.0 / odds, 0.0)
+    return spelled, best, totals.max(axis=0), np.exp((totals - totals.max(axis=0)) / SCALE).sum(axis=0)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
-    """docs with two more columns; columns of these names that docs already has are replaced."""
-    kept = [c for c in docs.columns if c not in (label, score)]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(model: LanguageModel, spark: SparkSession) -> Callable[[Column], Column]:
+    shared = spark.sparkContext.broadcast(model)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(BEST)
+    def best_of_block(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters = letter_table()
         for batch in batches:
-            names, scores = score_texts(batch.column("_text").to_pylist(), shared.value, letters)
-            rows = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*rows, pa.array(names, pa.string()), pa.array(scores)], names=[*kept, label, score])
+            parts = []
+            for texts in slices([batch], ROWS):
+                spelled, best, total, odds = score_texts(texts.to_pylist(), shared.value, letters)
+                names = pa.array([shared.value.languages[b] for b in best], pa.string())
+                parts.append(pa.StructArray.from_arrays([pa.array(spelled), names, pa.array(total), pa.array(odds)], names=["spelled", "lang", "total", "odds"]))
+            yield pa.concat_arrays(parts)
+
+    return best_of_block
+
 
-    schema = docs.select(*kept).schema.add(label, "string").add(score, "double")
-    return docs.select(*kept, F.col(text).cast("string").alias("_text")).mapInArrow(add, schema)
+def predict(docs: DataFrame, models: list[LanguageModel], text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with two more columns; columns of these names that docs already has are replaced."""
+    kept = [c for c in docs.columns if c not in (label, score)]
+    if not models:
+        return docs.select(*kept, F.lit(UNKNOWN).alias(label), F.lit(0.0).alias(score))
+    names = fresh_names([*docs.columns, label, score], *[f"block{i}" for i in range(len(models))], "best")
+    scored = docs.withColumns({n: scorer(m, docs.sparkSession)(F.col(text).cast("string")) for n, m in zip(names, models, strict=False)})
+    blocks = [F.col(n) for n in names[:-1]]
+    top = F.greatest(*[b["total"] for b in blocks]) if len(blocks) > 1 else blocks[0]["total"]
+    scored = scored.withColumn(names[-1], top)
+    chosen = F.coalesce(*[F.when(b["total"] == F.col(names[-1]), b["lang"]) for b in blocks])
+    odds = reduce(lambda a, b: a + b, [b["odds"] * F.exp((b["total"] - F.col(names[-1])) / SCALE) for b in blocks])
+    spelled = blocks[0]["spelled"]
+    return scored.select(*kept, F.when(spelled, chosen).otherwise(UNKNOWN).alias(label), F.when(spelled, 1.0 / odds).otherwise(0.0).alias(score))
 
 
 def held_out() -> F.Column:
@@ -162,7 +186,9 @@ def identify(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
 
 def accepted(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The documents whose language is known with at least `min_score`; same columns."""
-    model = fit(docs.filter(~F.coalesce(held_out(), F.lit(False))))
-    label, score = "_lang_pred", "_score"
-    found = predict(docs, model, label=label, score=score)
+    models = fit(docs.filter(~F.coalesce(held_out(), F.lit(False))))
+    if not models and not docs.isEmpty():
+        raise ValueError("no document outside the held-out fold has a text and a language: there is no language to learn")
+    label, score = fresh_names(docs.columns, "lang_pred", "score")
+    found = predict(docs, models, label=label, score=score)
     return found.filter((F.col(label) != UNKNOWN) & (F.col(score) >= min_score)).drop(label, score)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from givingledger.llm.common import written
+from givingledger.llm.common import fresh_names, written
 from givingledger.llm.components import components
 from givingledger.llm.shingles import mix, shingle_sets
 
@@ -276,16 +276,17 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     key that is there repeatedly are grouped, combined before the shuffle; of those the least in the other columns stays.
     """
     sketch, first = linked(docs)
+    keys = fresh_names(docs.columns, *ROW)
     mine = sketch.filter("n > 0").select(*CLASS, *ROW)
     met = mine.join(first.select(*CLASS, *[F.col(c).alias(f"first_{c}") for c in ROW]), CLASS)
-    gone = met.filter(" OR ".join(f"{c} != first_{c}" for c in ROW)).select(*[F.col(c).alias(f"_{c}") for c in ROW]).distinct()
-    again = written(first.filter("copies > 1").select(*[F.col(c).alias(f"_{c}") for c in ROW]).distinct(), "repeated")
-    keys, columns = [f"_{c}" for c in ROW], docs.columns
-    keyed = docs.select(*columns, *[k.alias(f"_{c}") for k, c in zip(row_key(), ROW, strict=True)])
+    gone = met.filter(" OR ".join(f"{c} != first_{c}" for c in ROW)).select(*[F.col(c).alias(k) for c, k in zip(ROW, keys, strict=True)]).distinct()
+    again = written(first.filter("copies > 1").select(*[F.col(c).alias(k) for c, k in zip(ROW, keys, strict=True)]).distinct(), "repeated")
+    columns = docs.columns
+    keyed = docs.select(*columns, *[column.alias(k) for column, k in zip(row_key(), keys, strict=True)])
     kept = keyed.join(bounded(written(gone, "gone")), keys, "left_anti")
     if again.isEmpty():
         return kept.select(*columns)
-    ranked = [c for c in columns if c not in ("doc_id", "text") and "map<" not in docs.schema[c].dataType.simpleString()]
-    least = F.min_by(F.struct(*columns), F.struct(F.lit(0).alias("_"), *ranked)).alias("row")
+    ranked = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns) if c not in ("doc_id", "text") and "map<" not in docs.schema[c].dataType.simpleString()]
+    least = F.min_by(F.struct(*columns), F.struct(F.lit(0).alias("zero"), *ranked)).alias("row")
     one = keyed.join(bounded(again), keys, "left_semi").groupBy(*keys).agg(least)
     return kept.join(bounded(again), keys, "left_anti").select(*columns).unionByName(one.select("row.*"))

@@ -5,8 +5,11 @@ cut into pieces of that length, and its rest is a piece too. Pieces are spread o
 hash of document, piece and copy, so a frequent id cannot fill a group; each group is packed by itself:
 
 - pieces come longest first and go to the open bin that they fill best;
-- if none has room, a bin of the least-cost length is opened: least cost for each token of room, among lengths that hold the piece;
-- at the end each bin is cut down to the cheapest permitted length that holds its contents.
+- if none has room, a bin is opened, of the preferred length or, if that is too short, of the length with the least cost for each
+  token of room among those that hold the piece;
+- at the end each bin is cut down to the cheapest permitted length that holds its contents;
+- this is done with each permitted length as the preferred one, and the cheapest of these packings counts, so that the lengths
+  are chosen for the pieces that a group has, all together.
 
 cost(L) = overhead + L + L * L / quadratic. One row per bin: bin_id, seq_len, used, doc_ids and pieces (doc_id, start, length).
 Null and empty texts are pieces of one end mark. Repeated rows are packed as often as they occur. Ties go to the smaller
@@ -35,8 +38,14 @@ def cost(length: int) -> float:
 
 
 def pack(lengths: Sequence[int], permitted: Sequence[int]) -> list[tuple[int, list[int]]]:
-    """(final length, places of its pieces) of each bin; lengths are in falling order."""
-    by_value = sorted(permitted, key=lambda size: (cost(size) / size, size))
+    """(final length, places of its pieces) of each bin of the cheapest packing; lengths are in falling order."""
+    packings = [pack_preferring(first, lengths, permitted) for first in sorted(permitted, key=lambda size: (cost(size) / size, size))]
+    return min(packings, key=lambda bins: sum(cost(size) for size, _ in bins))  # of equal ones the first
+
+
+def pack_preferring(first: int, lengths: Sequence[int], permitted: Sequence[int]) -> list[tuple[int, list[int]]]:
+    """The same with bins of one length opened first."""
+    by_value = [first, *sorted(permitted, key=lambda size: (cost(size) / size, size))]
     bins: list[list[int]] = []
     room: list[tuple[int, int]] = []
     for place, length in enumerate(lengths):

@@ -13,7 +13,7 @@ broadcast only if they are counted to be at most MAX_BROADCAST, else joined by s
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from re import _constants as sre
 from re import _parser as sre_parser
 
@@ -21,14 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from givingledger.llm.common import written
+from givingledger.llm.common import fresh_names, slices, written
 from givingledger.llm.shingles import blocks
 
 MAX_BROADCAST = 1_000_000
 MOST_STRINGS = 16
-SPANS = "_spans array<struct<start:bigint,stop:bigint,kind:string>>"
+SPANS = "array<struct<start:bigint,stop:bigint,kind:string>>"
+ROWS = 500
 
 # The three base rules, in their order.
 BASE = {
@@ -46,7 +46,7 @@ PEM = (
 # Rules of this operator's own: known forms of keys.
 MORE = {
     "google": r"AIza[0-9A-Za-z_-]{35}",
-    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "jwt": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}",
     "pem": PEM,
     "repository": r"gh[pousr]_[A-Za-z0-9]{36,}",
     "chat": r"xox[abprs]-[A-Za-z0-9-]{10,}",
@@ -194,28 +194,46 @@ def find_spans(text: str, kinds: list[str], patterns: dict[str, re.Pattern], ord
     return sorted(found)
 
 
-def scan(docs: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
-    """docs with _spans (start, stop, kind), by start and then in the order of the rules."""
-    columns = [c for c in docs.columns if c not in ("_key", "_rules", "_spans")]
-    keyed = docs.select(*columns, document_key().alias("_key"))
-    found = written(candidates(keyed.select(F.col("_key").alias("key"), F.col("text").cast("string")), rules), "candidates")
-    found = found.select(F.col("key").alias("_key"), F.col("rules").alias("_rules"))
+def with_rules(docs: DataFrame, rules: dict[str, str], name: str) -> DataFrame:
+    """docs with the rules whose trigrams each text holds."""
+    key, id_key = fresh_names([*docs.columns, name], "key", "rules_key")
+    keyed = docs.withColumn(key, document_key())
+    found = written(candidates(keyed.select(F.col(key).alias("key"), F.col("text").cast("string")), rules), "candidates")
+    found = found.select(F.col("key").alias(id_key), F.col("rules").alias(name))
     small = found.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    joined = keyed.join(F.broadcast(found) if small else found, "_key", "left").select(*columns, "_rules")
-    always = [kind for kind, pattern in rules.items() if trigram_query(pattern) is None]
+    return keyed.join(F.broadcast(found) if small else found, F.col(key).eqNullSafe(F.col(id_key)), "left").drop(key, id_key)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = {kind: re.compile(p, re.ASCII) for kind, p in rules.items()}
-        order = {kind: i for i, kind in enumerate(rules)}
+
+def searcher(rules: dict[str, str], give: Callable[[str | None, list], object], kind: str, arrow: pa.DataType) -> Callable:
+    """A function of (text, rules that the text may meet); texts go into Python once, and what `give` makes of the spans comes back."""
+    always = [name for name, pattern in rules.items() if trigram_query(pattern) is None]
+
+    @F.arrow_udf(kind)
+    def search(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        patterns = {name: re.compile(p, re.ASCII) for name, p in rules.items()}
+        order = {name: i for i, name in enumerate(rules)}
         for batch in batches:
-            rows = [
-                [{"start": s, "stop": e, "kind": k} for s, _, k, e in find_spans(text or "", [*always, *(kinds or [])], patterns, order)]
-                for text, kinds in zip(batch.column("text").to_pylist(), batch.column("_rules").to_pylist(), strict=True)]
-            spans = pa.array(rows, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())])))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], spans], names=[*columns, "_spans"])
+            parts = []
+            for texts, held in slices([batch], ROWS):
+                rows = [give(text, find_spans(text or "", [*always, *(kinds or [])], patterns, order))
+                        for text, kinds in zip(texts.to_pylist(), held.to_pylist(), strict=True)]
+                parts.append(pa.array(rows, arrow))
+            yield pa.concat_arrays(parts)
+
+    return search
+
+
+def spans_of(text: str | None, found: list[tuple[int, int, str, int]]) -> list[dict]:
+    return [{"start": s, "stop": e, "kind": k} for s, _, k, e in found]
 
-    result = docs.select(*columns).schema.add("_spans", StructType.fromDDL(SPANS)["_spans"].dataType)
-    return joined.mapInArrow(search, result)
+
+def scan(docs: DataFrame, rules: dict[str, str] = RULES, spans: str = "_spans") -> DataFrame:
+    """docs with `spans` (start, stop, kind), by start and then in the order of the rules."""
+    columns = [c for c in docs.columns if c != spans]
+    (held,) = fresh_names([*docs.columns, spans], "rules")
+    search = searcher(rules, spans_of, SPANS, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())])))
+    found = with_rules(docs.select(*columns), rules, held)
+    return found.select(*columns, search(F.col("text").cast("string"), F.col(held)).alias(spans))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -227,27 +245,22 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.encode(of(base), "UTF-8"), 256).alias("base_sha256"), of(F.col("_spans")).alias("spans"))
 
 
-def masked(text: str | None, spans: list[dict], mask: str) -> str | None:
+def masked(text: str | None, spans: list[tuple[int, int, str, int]], mask: str) -> str | None:
     """The text with each stretch that spans cover replaced."""
     if not spans:
         return text
     parts, done = [], 0
-    for span in spans:
-        if span["start"] >= done:
-            parts += [text[done : span["start"]], mask]
-        done = max(done, span["stop"])
+    for start, _, _, stop in spans:
+        if start >= done:
+            parts += [text[done:start], mask]
+        done = max(done, stop)
     return "".join([*parts, text[done:]])
 
 
 def redacted(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """All documents, with secrets replaced by the mask and n_chars, where there is such a column, counted anew."""
-    found, columns = scan(docs), docs.columns
-
-    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [masked(t, s, mask) for t, s in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], names=columns)
-
-    clean = found.mapInArrow(replace, docs.schema)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+    (held,) = fresh_names(docs.columns, "rules")
+    replace = searcher(RULES, lambda text, found: masked(text, found, mask), "string", pa.string())
+    clean = replace(F.col("text").cast("string"), F.col(held)).alias("text")
+    found = with_rules(docs, RULES, held).select(*[clean if c == "text" else c for c in docs.columns])
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
