@@ -15,6 +15,8 @@ in one go, as such names are found before the split.
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 import uuid
@@ -25,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,10 +39,23 @@ from givingledger.sources.scratch import new_folder
 
 PIECES = re.compile(r" ?(?:[^\s]|[\x1c-\x1f])+|[^\S\x1c-\x1f]+(?![^\s]|[\x1c-\x1f])|[^\S\x1c-\x1f]+")
 # Blanks that the cut at single blanks and line ends does not cover: other kinds, several together, at an edge of the text.
-ODD = re.compile(r"[^\S \n]|[\x1c-\x1f]| [ \n]|\n |\n\n\n|\A\s|\s\Z")
+ODD = ("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+       "| [ \\n]|\\n |\\n\\n\\n|\\A[ \\n]|[ \\n]\\z")
 CACHED = 1_500_000
 ENCODED = 20_000
-ROWS = 500
+POINTS = ".,;:!?"
+MOST_ROWS = 4000
+STRETCH = 4 << 20
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+LETTERS = byte_letters()
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 NULL_ID = np.iinfo(np.int64).min
 
@@ -57,50 +73,96 @@ class Encoder:
         self.code = {2: "H", 4: "I"}[dtype.itemsize]
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.dtype, self.end, self.known = dtype, np.array([end_id], dtype=dtype).tobytes(), {"": b""}
-        self.after: dict[str, bytes] = {}
-
-    def lines(self, text: str) -> list[list[str]]:
-        """The pieces of a text. One without odd blanks is cut at line ends and blanks, which is what the expression does there."""
-        if ODD.search(text):
-            return [PIECES.findall(text)]
-        return [line.split(" ") for line in text.split("\n")]
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text. Pieces of all texts are looked up together, so that new ones are encoded once, in one call."""
-        whole = [text is not None and any(s in text for s in self.special) for text in texts]
-        cut = [None if w else (bool(ODD.search(text or "")), self.lines(text or "")) for text, w in zip(texts, whole, strict=True)]
-        first, after = {"\n"}, set()
-        for odd, lines in filter(None, cut):
-            for line in lines:
-                if odd:
-                    first.update(line)
-                else:
-                    first.add(line[0])
-                    after.update(line[1:])
-        self.learn(first, after)
-        known, spaced, end_of_line = self.known, self.after, self.known["\n"]
-        out = []
-        for text, found in zip(texts, cut, strict=True):
-            if found is None:
-                coded = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-            elif found[0]:
-                coded = b"".join(map(known.__getitem__, found[1][0]))
-            else:
-                coded = end_of_line.join([known[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in found[1]])
-            out.append(coded + self.end)
-        return out
-
-    def learn(self, first: set[str], after: set[str]) -> None:
-        """Adds pieces to those known: as they stand, and words that follow a blank."""
-        if len(self.known) + len(self.after) > CACHED:
-            self.known, self.after = {"": b""}, {}
-        for table, new, blank in ((self.known, first.difference(self.known), ""), (self.after, after.difference(self.after), " ")):
-            words = list(new)
-            for start in range(0, len(words), ENCODED):
-                part = words[start : start + ENCODED]
-                found = self.tokenizer.encode_batch_fast([blank + w for w in part], add_special_tokens=False)
-                table.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(part, found, strict=True))
+        self.dtype, self.end = dtype, np.array([end_id], dtype=dtype).tobytes()
+        self.known: dict[str, bytes] = {}  # pieces as they stand
+        self.after: dict[str, bytes] = {}  # words that follow a blank
+        parts = json.loads(self.tokenizer.to_str())
+        byte_level = parts["model"]["type"] == "BPE" and not parts.get("normalizer") and (parts.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+        whole = byte_level and not parts["pre_tokenizer"].get("add_prefix_space") and not parts["model"].get("ignore_merges")
+        self.merges = self.tokenizer.model.tokenize if whole else None
+        # Marks that the vocabulary's cut always parts from a word before them.
+        marks = POINTS if whole and parts["pre_tokenizer"].get("use_regex", True) else ""
+        self.points = {"": b""} | {m: self.merged(m) for m in marks}
+
+    def encode_all(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
+        """Ids of all texts, each with its end, and the number of each.
+
+        Words are cut, and told apart, by Arrow; only the distinct ones of a stretch become Python objects. Their ids stand one after
+        the other in a buffer, from which the texts are gathered. A text with odd blanks or special names is one entry of that buffer.
+        """
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, ODD)
+        for name in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, name))
+        entries = [self.end, *(self.encode_odd(t.as_py()) + self.end for t in texts.filter(odd))]
+        odd = odd.to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.replace_substring(pc.if_else(pa.array(odd), "", texts), "\n", " \n "), " ")
+        words = cut.flatten().dictionary_encode()
+        distinct, place = words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = cut.offsets.to_numpy()[:-1].astype(np.int64) - cut.offsets[0].as_py()
+        begins = np.zeros(len(place), dtype=bool)  # a text's or a line's first word has no blank before it
+        begins[starts] = True
+        line_end = distinct.index("\n") if "\n" in distinct else -1
+        begins[1:] |= place[:-1] == line_end
+        begins |= place == line_end
+        codes = np.full(len(place) + len(texts), 0, dtype=np.int64)
+        ends = np.append(starts[1:], len(place)) + np.arange(len(texts))
+        codes[ends[odd]] = np.arange(1, 1 + odd.sum())
+        inside = np.ones(len(codes), dtype=bool)
+        inside[ends] = False
+        for table, blank, chosen in ((self.known, "", begins), (self.after, " ", ~begins)):
+            used = np.flatnonzero(np.bincount(place[chosen], minlength=len(distinct)))
+            number = np.zeros(len(distinct), dtype=np.int64)
+            number[used] = np.arange(len(used)) + len(entries)
+            entries += self.ids_of(table, blank, [distinct[i] for i in used])
+            codes[np.flatnonzero(inside)[chosen]] = number[place[chosen]]
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // self.dtype.itemsize
+        buffer, before = np.frombuffer(b"".join(entries), dtype=self.dtype), np.cumsum(sizes) - sizes
+        n = sizes[codes]
+        done = np.cumsum(n)
+        gathered = buffer[np.repeat(before[codes] - done + n, n) + np.arange(done[-1])]
+        return gathered.tobytes(), np.diff(done[ends], prepend=0)
+
+    def merged(self, letters: str) -> bytes:
+        """Ids of a piece that needs no cut within, only merges."""
+        spelled = letters.replace(" ", LETTERS[32]) if letters.isascii() else letters.encode().decode("latin-1").translate(LETTERS)
+        return array(self.code, [t.id for t in self.merges(spelled)]).tobytes()
+
+    def encode_odd(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return b"".join(self.ids_of(self.known, "", PIECES.findall(text)))
+
+    def ids_of(self, table: dict[str, bytes], blank: str, words: list[str]) -> list[bytes]:
+        """Ids of the words, each after `blank`; new ones are encoded together, those of letters and a mark at most by merges alone."""
+        if len(table) > CACHED:
+            table.clear()
+        found = list(map(table.get, words))
+        if None in found:
+            new = list({w for w, ids in zip(words, found, strict=True) if ids is None})
+            rest = []
+            for word in new:
+                bare, point = (word[:-1], word[-1]) if word and word[-1] in self.points else (word, "")
+                if not self.merges or not bare.isalpha():
+                    rest.append(word)
+                    continue
+                if bare not in table:
+                    table[bare] = self.merged(blank + bare)
+                table[word] = table[bare] + self.points[point]
+            for start in range(0, len(rest), ENCODED):
+                part = rest[start : start + ENCODED]
+                coded = self.tokenizer.encode_batch_fast([blank + w if w else "" for w in part], add_special_tokens=False)
+                table.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(part, coded, strict=True))
+            found = [table[w] for w in words]
+        return found
+
+
+def stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Stretches of rows with about STRETCH bytes of text; a longer text comes alone."""
+    if batch.num_rows:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // STRETCH)) + 1), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in itertools.pairwise(cuts))
 
 
 @lru_cache(maxsize=1)
@@ -122,12 +184,12 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int, dty
         ids, ends, total = [], [], 0
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/{path}.tokens") as out:
-            for batch in slices(batches, ROWS):
-                for doc_id, coded in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text").to_pylist()), strict=True):
-                    out.write(coded)
-                    total += len(coded) // dtype.itemsize
-                    ids.append(NULL_ID if doc_id is None else doc_id)
-                    ends.append(total)
+            for batch in (part for b in slices(batches, MOST_ROWS) for part in stretches(b)):
+                coded, counts = encoder.encode_all(batch.column("text"))
+                out.write(coded)
+                ids += batch.column("doc_id").fill_null(NULL_ID).to_pylist()
+                ends += (total + np.cumsum(counts)).tolist()
+                total = ends[-1]
         for name, values in (("offsets", [0, *ends]), ("doc_ids", ids)):
             with store.open_output_stream(f"{root}/{path}.{name}") as out:
                 out.write(np.array(values, dtype="<i8").tobytes())
