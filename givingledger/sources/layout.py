@@ -50,7 +50,7 @@ def lay_out_tables(tables: DonorTables, spark: SparkSession, root: str, prefix:
     their description in its catalog, as ``prefix`` and the table's name; the files can be registered anew in another session by
     :func:`read_layout`.
     """
-    guids = True
+    guids, skewed = True, []
     for name in SCHEMAS:
         table, key = getattr(tables, name), BY_KEY.get(name)
         guids = guids and all_guids(table)
@@ -59,7 +59,9 @@ def lay_out_tables(tables: DonorTables, spark: SparkSession, root: str, prefix:
             continue
         frequent_path = f"{root}/{name}_keys"
         frequent_keys(table, key, buckets).write.parquet(frequent_path)
-        keys = F.broadcast(spark.read.parquet(frequent_path))  # at most 4 * buckets rows
+        stored_keys = spark.read.parquet(frequent_path)
+        skewed += [] if stored_keys.isEmpty() else [name]
+        keys = F.broadcast(stored_keys)  # at most 4 * buckets rows
         usual = table.filter(F.col(key).isNotNull()).join(keys, key, "left_anti").select(*table.columns)
         frequent = table.join(keys.withColumnRenamed(key, "Frequent"), F.col(key) == F.col("Frequent"), "left")
         frequent = frequent.filter(F.col("Frequent").isNotNull() | F.col(key).isNull()).select(*table.columns)
@@ -68,7 +70,7 @@ def lay_out_tables(tables: DonorTables, spark: SparkSession, root: str, prefix:
             usual.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
             .option("path", f"{root}/{name}").saveAsTable(f"{prefix}{name}")
         )
-    about = spark.range(1).select(F.lit(buckets).alias("Buckets"), F.lit(guids).alias("Guids"))
+    about = spark.range(1).select(F.lit(buckets).alias("Buckets"), F.lit(guids).alias("Guids"), F.lit(",".join(skewed)).alias("Skewed"))
     about.write.parquet(f"{root}/{ABOUT}")
     return read_layout(spark, root, prefix)
 
@@ -90,10 +92,12 @@ def read_layout(spark: SparkSession, root: str, prefix: str) -> DonorTables:
         return spark.table(f"{prefix}{name}")
 
     def parts(name: str) -> list[DataFrame]:
-        return [by_key(name), stored(f"{name}{FREQUENT}")] if name in BY_KEY else [stored(name)]
+        """Rows without a key count for no donor; without frequent keys the buckets have all others."""
+        if name not in BY_KEY:
+            return [stored(name)]
+        return [by_key(name), *([stored(f"{name}{FREQUENT}")] if name in about["Skewed"].split(",") else [])]
 
     def load(name: str) -> DataFrame:
-        first, *others = parts(name)
-        return first.unionByName(others[0]) if others else first
+        return by_key(name).unionByName(stored(f"{name}{FREQUENT}")) if name in BY_KEY else stored(name)
 
     return DonorTables(load, about["Guids"], parts)

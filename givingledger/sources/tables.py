@@ -57,7 +57,10 @@ class DonorTables:
         self.guids = guids
 
     def parts(self, name: str) -> list[DataFrame]:
-        """The table in parts that share no donor; work by donor can be done part by part."""
+        """The table in parts that share no donor; work by donor can be done part by part.
+
+        Rows without a donor may be in none of them.
+        """
         return [getattr(self, name)] if self._load_parts is None else self._load_parts(name)
 
     def __getattr__(self, name: str) -> DataFrame:
