@@ -7,8 +7,13 @@
 3. Rounds: in each token's list, by size band, one group is the pivot, in later rounds up to eight; each group proposes a
    link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
-4. Rest: for lists that still hold more than one component, all pairs of groups of different components that pass the length
-   and overlap filters are made once, expanded and verified. So no link between different components is lost.
+4. Rest: in lists that still hold more than one component, groups outside a list's largest component meet the whole list;
+   pairs of different components that pass the length, signature and overlap filters are counted, expanded and verified. So no
+   link between different components is lost.
+
+A signature of a set says of 512 buckets whether each holds an odd number of its shingles. Two sets differ in at least as many
+shingles as their signatures in bits, and similar sets of n and m shingles in at most (n + m) / 9. A group of several classes has
+the bits in which all of them agree. So signatures only drop pairs that cannot link, at a size that no text makes larger.
 
 Sets are compared by 64-bit shingle hashes. A row without words has the empty set and no link. Null text counts as empty.
 Each row counts by itself: a row's key is a 128-bit digest of its doc_id and text, equal only in repeated rows, and classes have
@@ -26,16 +31,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from givingledger.llm.common import fresh_names, written
+from givingledger.llm.common import fresh_names, slices, written
 from givingledger.llm.components import components
 from givingledger.llm.shingles import mix, shingle_sets
 
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
 PIVOTS = (1, 8, 8)  # of each list, by round
-SKETCH = "doc_id long, row_hi long, row_lo long, n long, set_hi long, set_lo long, prefix_hi long, prefix_lo long, prefix array<long>"
+BATCH = 1_000  # rows that go through Python at once
+BITS = 512
 ROW = ["row_hi", "row_lo"]
 CLASS = ["n", "set_hi", "set_lo", "prefix_hi", "prefix_lo"]  # a set has one prefix
+SIGNATURE = [f"s{k}" for k in range(BITS // 64)]
+SKETCH = ", ".join(f"{c} long" for c in ("doc_id", *ROW, *CLASS, *SIGNATURE)) + ", prefix array<long>"
 GROUP = ["n", "prefix_hi", "prefix_lo"]
 
 
@@ -50,6 +58,13 @@ def digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(pair[0].astype(np.int64)), int(pair[1].astype(np.int64))
 
 
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """Of each bucket of a set's tokens, whether their number is odd, as bits of whole numbers."""
+    bucket = (mix(tokens ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) % np.uint64(BITS)
+    odd = np.bincount(bucket.astype(np.int64), minlength=BITS) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def row_key() -> list[Column]:
     """128 bits of a row's doc_id and text."""
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
@@ -72,7 +87,7 @@ def hot_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(tokens[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["token", "n"])
 
         size = 0
-        for batch in batches:
+        for batch in slices(batches, BATCH):
             for _, tokens in shingle_sets(batch.column("text")):
                 held.append(tokens)
                 size += len(tokens)
@@ -94,8 +109,8 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_hot, n_hot = hot.value
-        for batch in batches:
-            rows: list[list] = [[] for _ in range(6)]
+        for batch in slices(batches, BATCH):
+            rows: list[list] = [[] for _ in range(6 + len(SIGNATURE))]
             for _, tokens in shingle_sets(batch.column("text")):
                 size = prefix_length(len(tokens)) if len(tokens) else 0
                 at = np.minimum(np.searchsorted(tokens_hot, tokens), max(len(tokens_hot) - 1, 0))
@@ -105,11 +120,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                 if len(prefix) < size:
                     warm, often = tokens[hits], n_hot[at[hits]]
                     prefix = np.concatenate([prefix, warm[np.lexsort((warm, often))][: size - len(prefix)]])
-                for column, value in zip(rows, (len(tokens), *digest(tokens), *digest(prefix), prefix.view(np.int64)), strict=True):
+                values = (len(tokens), *digest(tokens), *digest(prefix), *signature(tokens), prefix.view(np.int64))
+                for column, value in zip(rows, values, strict=True):
                     column.append(value)
-            arrays = [pa.array(c, pa.int64()) for c in rows[:5]] + [pa.array(rows[5], pa.list_(pa.int64()))]
+            arrays = [pa.array(c, pa.int64()) for c in rows[:-1]] + [pa.array(rows[-1], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *ROW)], *arrays], schema=pa.schema(
-                [pa.field(c, pa.int64()) for c in ("doc_id", *ROW, *CLASS)] + [pa.field("prefix", pa.list_(pa.int64()))]))
+                [pa.field(c, pa.int64()) for c in ("doc_id", *ROW, *CLASS, *SIGNATURE)] + [pa.field("prefix", pa.list_(pa.int64()))]))
 
     return written(docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string")).mapInArrow(sketch, SKETCH), "sketches")
 
@@ -118,7 +134,7 @@ def token_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, repeated: bo
     """(id, tokens) of the classes listed in ids (id), each once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH):
             found = [tokens.view(np.int64) for _, tokens in shingle_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "tokens"])
 
@@ -181,34 +197,48 @@ def proposals(rows: DataFrame, round_: int) -> DataFrame:
     return best.select(F.col("g").alias("a"), F.col("best.pivot").alias("b"))
 
 
-def remaining(rows: DataFrame) -> DataFrame:
-    """(a, b): pairs of groups of different components in one list that can still be similar.
+def unlike(known: str = "") -> str:
+    """SQL for the number of bits, of those `known` on both sides, in which the signatures of a and b differ."""
+    both = [f"({c}_a ^ {c}_b)" + (f" & ~({known}{c}_a | {known}{c}_b)" if known else "") for c in SIGNATURE]
+    return "(" + " + ".join(f"bit_count({bits})" for bits in both) + ")"
+
+
+def signatures(members: DataFrame) -> DataFrame:
+    """(g, s0.., not_s0..): of each group the bits that all its classes have, and those in which its classes differ."""
+    return members.groupBy("g").agg(*[F.bit_and(c).alias(c) for c in SIGNATURE],
+                                    *[F.expr(f"bit_or({c}) ^ bit_and({c})").alias(f"not_{c}") for c in SIGNATURE])
+
+
+def remaining(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): pairs of groups of different components that can still be similar, each once.
 
-    A pair is made once, in the list of its first common token. What both have beyond the tokens shared here lies behind
-    the end of one of the two prefixes, which bounds their overlap.
+    In each list the component with most groups of its own is the main one; its groups do not meet each other. What both of a
+    pair have beyond the tokens shared here lies behind the end of one of the two prefixes, which bounds their overlap.
     """
-    held = rows.groupBy("g", "n", "c_min", "c_max").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("held"))
-    spread = held.select("g", "n", "c_min", "c_max", F.col("held.token").alias("tokens"), F.posexplode("held.token").alias("k", "token"))
-    left, right = (spread.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("g", "n", "c_min", "c_max", "tokens", "k")]) for s in "ab")
-    behind = "greatest(ceil(0.8 * n_a), ceil(0.8 * n_b)) - 1"
-    pairs = left.join(right, "token").filter(f"""
-        g_a < g_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)
-        AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b)
-        AND NOT arrays_overlap(slice(tokens_a, 1, k_a), slice(tokens_b, 1, k_b))
-        AND 9 * (size(array_intersect(tokens_a, tokens_b)) + {behind}) >= 4 * (n_a + n_b)""")
-    return pairs.select(F.col("g_a").alias("a"), F.col("g_b").alias("b"))
+    counts = rows.filter("c_min = c_max").groupBy("token", "c_min").agg(F.count(F.lit(1)).alias("n_groups"))
+    main = counts.groupBy("token").agg(F.max(F.struct("n_groups", "c_min")).alias("main")).select("token", F.col("main.c_min").alias("main"))
+    marked = rows.drop("place").join(main, "token", "left").join(signatures(members), "g").selectExpr(
+        "*", "NOT (c_min = c_max AND c_min <=> main) AS apart").drop("main")
+    left, right = (marked.select("token", *[F.col(c).alias(f"{c}_{s}") for c in marked.columns if c != "token"]) for s in "ab")
+    met = left.filter("apart_a").join(right, "token").filter(f"""
+        g_a != g_b AND (NOT apart_b OR g_a < g_b) AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)
+        AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b) AND 9 * {unlike("not_")} <= n_a + n_b""")
+    shared = met.groupBy(F.least("g_a", "g_b").alias("a"), F.greatest("g_a", "g_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.first(F.expr("n_a + n_b")).alias("sizes"), F.first(F.greatest("n_a", "n_b")).alias("longer"))
+    return shared.filter("9 * (shared + ceil(0.8 * longer) - 1) >= 4 * sizes").select("a", "b")
 
 
 def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:
-    """Pairs of groups as pairs of classes that are in different components and were not tried before.
+    """Pairs of groups as pairs of classes of different components, with signatures that allow a link, not tried before.
 
     All classes of the first group meet those of the second; in the rounds, where the second is a pivot, its first class.
     """
     state = members.join(labels.withColumnRenamed("id", "class"), "class")
-    one = state.select(F.col("g").alias("a"), F.col("class").alias("x"), F.col("component").alias("cx"))
-    two = (state if whole else state.filter("class = g")).select(F.col("g").alias("b"), F.col("class").alias("y"), F.col("component").alias("cy"))
-    met = pairs.join(one, "a").join(two, "b").filter("cx != cy" + (" AND (a != b OR x < y)" if whole else ""))
-    return met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    one, two = (part.select(F.col("g").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("class", "component", "n", *SIGNATURE)])
+                for s, part in (("a", state), ("b", state if whole else state.filter("class = g"))))
+    met = pairs.join(one, "a").join(two, "b").filter(
+        f"component_a != component_b AND 9 * {unlike()} <= n_a + n_b" + (" AND (a != b OR class_a < class_b)" if whole else ""))
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def first_row() -> Column:
@@ -217,10 +247,11 @@ def first_row() -> Column:
 
 
 def classes_of(sketch: DataFrame) -> DataFrame:
-    """(*CLASS, doc_id, *ROW, copies, class): each class with a number and its first row, which is there `copies` times; stored."""
-    rows = sketch.filter("n > 0").groupBy(*CLASS, "doc_id", *ROW).agg(F.count(F.lit(1)).alias("copies"))
-    found = rows.groupBy(*CLASS).agg(first_row())
-    return written(found.select(*CLASS, "first.doc_id", *[f"first.{c}" for c in ROW], "first.copies",
+    """(*CLASS, *SIGNATURE, doc_id, *ROW, copies, class): each class with a number and its first row, there `copies` times; stored."""
+    same = [F.max(c).alias(c) for c in SIGNATURE]  # rows of a class have one signature
+    rows = sketch.filter("n > 0").groupBy(*CLASS, "doc_id", *ROW).agg(F.count(F.lit(1)).alias("copies"), *same)
+    found = rows.groupBy(*CLASS).agg(first_row(), *same)
+    return written(found.select(*CLASS, *SIGNATURE, "first.doc_id", *[f"first.{c}" for c in ROW], "first.copies",
                                 F.monotonically_increasing_id().alias("class")), "classes")
 
 
@@ -230,10 +261,10 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = classes_of(sketch)
     repeated = not classes.filter("copies > 1").isEmpty()
     groups = classes.groupBy(*GROUP).agg(F.min("class").alias("g"), F.count(F.lit(1)).alias("n_classes"))
-    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes", *GROUP, *ROW), "members")
+    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes", *GROUP, *ROW, *SIGNATURE), "members")
     chosen = sketch.join(members.filter("class = g").select("g", *GROUP, *ROW), [*GROUP, *ROW]).dropDuplicates([*GROUP, *ROW])
     exploded = chosen.select("g", "n", F.posexplode("prefix").alias("place", "token"))
-    members = members.select("g", "class", "n_classes")
+    members = members.select("g", "class", "n_classes", "n", *SIGNATURE)
     by_token = exploded.repartition("token")
     shared = by_token.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     index = written(by_token.join(shared, "token"), "index")
@@ -243,7 +274,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for round_ in range(len(PIVOTS) + 1):
         last = round_ == len(PIVOTS)
         rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
-        wanted = (remaining(rows) if last else proposals(rows, round_)).unionByName(inside)
+        wanted = (remaining(rows, members) if last else proposals(rows, round_)).unionByName(inside)
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
         if pairs.isEmpty():
             continue
