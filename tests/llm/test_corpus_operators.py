@@ -131,6 +131,42 @@ def test_chains_of_near_copies(spark):
     assert found == expected_components(rows)
 
 
+def test_signatures_bound_the_difference():
+    chance = np.random.default_rng(3)
+    ones = lambda x: sum(int(v).bit_count() for v in x.view(np.uint64))
+    assert not ones(near_duplicates.signature(np.zeros(0, np.uint64)))
+    for n in (1, 5, 200, 5000):
+        for changed in {0, 1, n // 10, n}:
+            a = np.unique(chance.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.unique(np.concatenate([a[changed:], chance.integers(0, 1 << 63, changed).astype(np.uint64)]))
+            differ = ones(near_duplicates.signature(a) ^ near_duplicates.signature(b))
+            assert differ <= len(np.setxor1d(a, b)) and (changed or not differ)
+
+
+def test_copies_just_below_the_threshold(spark, monkeypatch):
+    """Texts that share enough of their prefixes with a large component, and with each other, and link with nothing."""
+    chance = random.Random(11)
+    rows = []
+    for i in range(240):
+        words = [f"b{k}" for k in range(200)]
+        for k in chance.sample(range(0, 100, 5), 2) if i % 2 else chance.sample(range(100, 200, 5), 4):
+            words[k + 2] = f"own{i}-{k}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found_pairs, remaining = [], near_duplicates.remaining
+
+    def counted(*args):
+        pairs = remaining(*args)
+        found_pairs.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_duplicates, "remaining", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components(rows)
+    assert {found[i][1] for i in range(1, 240, 2)} == {1} and len({c for _, c in found.values()}) > 100
+    assert len(found_pairs) == 1 and found_pairs[0] < 240 * 240 // 100
+
+
 def test_near_duplicates_edge_cases(docs, no_docs):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
     assert found[5] == (0, 5) and found[6] == (0, 6) and found[7] == (0, 7)
