@@ -213,16 +213,19 @@ def remaining(rows: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b): pairs of groups of different components that can still be similar, each once.
 
     In each list the component with most groups of its own is the main one; its groups do not meet each other. What both of a
-    pair have beyond the tokens shared here lies behind the end of one of the two prefixes, which bounds their overlap.
+    pair have beyond the tokens shared here lies behind the end of one of the two prefixes, which bounds their overlap; so do the
+    places of each shared token.
     """
     counts = rows.filter("c_min = c_max").groupBy("token", "c_min").agg(F.count(F.lit(1)).alias("n_groups"))
     main = counts.groupBy("token").agg(F.max(F.struct("n_groups", "c_min")).alias("main")).select("token", F.col("main.c_min").alias("main"))
-    marked = rows.drop("place").join(main, "token", "left").join(signatures(members), "g").selectExpr(
+    marked = rows.join(main, "token", "left").join(signatures(members), "g").selectExpr(
         "*", "NOT (c_min = c_max AND c_min <=> main) AS apart").drop("main")
     left, right = (marked.select("token", *[F.col(c).alias(f"{c}_{s}") for c in marked.columns if c != "token"]) for s in "ab")
     met = left.filter("apart_a").join(right, "token").filter(f"""
         g_a != g_b AND (NOT apart_b OR g_a < g_b) AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)
-        AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b) AND 9 * {unlike("not_")} <= n_a + n_b""")
+        AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b)
+        AND 9 * (least(place_a, place_b) + least(n_a - place_a, n_b - place_b)) >= 4 * (n_a + n_b)
+        AND 9 * {unlike("not_")} <= n_a + n_b""")
     shared = met.groupBy(F.least("g_a", "g_b").alias("a"), F.greatest("g_a", "g_b").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.first(F.expr("n_a + n_b")).alias("sizes"), F.first(F.greatest("n_a", "n_b")).alias("longer"))
     return shared.filter("9 * (shared + ceil(0.8 * longer) - 1) >= 4 * sizes").select("a", "b")
