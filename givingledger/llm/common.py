@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from givingledger.sources.scratch import new_folder
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -26,6 +27,13 @@ def slices(batches: Iterable, rows: int) -> Iterator:
         pa.default_memory_pool().release_unused()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most `rows` in this session, unless it has a limit of its own. An executor holds a batch of texts outside
+    its heap, up to three times while it grows, and once more in Python: 10,000 texts, Spark's default, are too many for small ones."""
+    if spark.conf.get(ARROW_ROWS, None) is None:
+        spark.conf.set(ARROW_ROWS, rows)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, and a lost executor costs no earlier stage."""
     path = new_folder(df.sparkSession, name)

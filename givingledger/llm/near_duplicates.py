@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from givingledger.llm.common import fresh_names, slices, written
+from givingledger.llm.common import fresh_names, slices, small_batches, written
 from givingledger.llm.components import components
 from givingledger.llm.shingles import mix, shingle_sets
 
@@ -260,6 +260,7 @@ def classes_of(sketch: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sketches, and each class (*CLASS) with the first row (doc_id, *ROW, copies) of its component; both stored."""
+    small_batches(docs.sparkSession)
     sketch = sketches(docs)
     classes = classes_of(sketch)
     repeated = not classes.filter("copies > 1").isEmpty()

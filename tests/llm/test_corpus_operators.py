@@ -14,6 +14,7 @@ from conftest import PUNCTUATED, SPACED, lowered  # noqa: F401
 
 import corpus_pipeline
 from givingledger.llm import contamination, near_duplicates, packing, token_files, url_filters
+from givingledger.llm.common import ARROW_ROWS, small_batches
 from givingledger.llm.components import components
 from givingledger.llm.queries import llm_oracle, llm_queries, vocabulary_path
 from givingledger.llm.shingles import shingle_sets
@@ -296,3 +297,19 @@ def test_pipeline(spark):
         for piece in row.pieces:
             packed[piece.doc_id] += piece.length
     assert packed == Counter({r.doc_id: len(SPACED.findall(r.text)) + 1 for r in kept.collect()})
+
+
+def test_small_batches_leave_a_limit_of_the_session(spark):
+    before = spark.conf.get(ARROW_ROWS, None)  # another test may have set it
+    spark.conf.unset(ARROW_ROWS)
+    try:
+        small_batches(spark, 7)
+        assert spark.conf.get(ARROW_ROWS) == "7"
+        small_batches(spark, 9)
+        assert spark.conf.get(ARROW_ROWS) == "7"
+        sizes = spark.range(0, 40, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) == 7
+    finally:
+        spark.conf.unset(ARROW_ROWS)
+        if before is not None:
+            spark.conf.set(ARROW_ROWS, before)
