@@ -12,12 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from givingledger.llm import contamination, language, near_duplicates, packing, secrets
-from givingledger.llm.common import written
+from givingledger.llm.common import small_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language.accepted(docs)
 
 
@@ -30,6 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.redacted(docs)
 
 
