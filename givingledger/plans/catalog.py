@@ -213,7 +213,7 @@ def _laid_out_export(spark: SparkSession, folder: str) -> DataFrame:
     """The export over tables laid out by donor, written first."""
     root = new_folder(spark, "layout")
     prefix = root.rsplit("/", 1)[1].replace("-", "_") + "_"
-    return donor_export(lay_out_tables(donor_tables(spark, folder), spark, root, prefix, buckets=8), SAMPLE_PARAMS)
+    return donor_export(lay_out_tables(donor_tables(spark, folder), spark, root, prefix), SAMPLE_PARAMS)
 
 
 def _extreme_percent_changes(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,10 +3,15 @@
 A bucket is read by one task, so a key with very many rows would make one task long. Keys with more than a quarter of a bucket's mean
 number of rows, and rows without a key, are kept apart in a plain table; there are at most ``4 * buckets`` such keys. Work by donor is
 done on both parts, which share no donor.
+
+The number of buckets follows the data, so that the share of one task, and with it its memory, stays as it is while tables grow.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -17,6 +22,9 @@ from givingledger.sources.tables import SCHEMAS, DonorTables
 BY_KEY = {"donations": "DonorProfileID", "donor_links": "DonorProfileID", "notes": "ParentID"}
 FREQUENT = "_frequent"
 ABOUT = "_layout"
+LEAST_BUCKETS = 8
+ROWS_IN_BUCKET = 250_000  # a task that makes labels of so many gifts takes about half a GB
+TEXT_IN_BUCKET = 256 << 20  # bytes
 
 
 def is_id(name: str) -> bool:
@@ -43,13 +51,27 @@ def frequent_keys(table: DataFrame, key: str, buckets: int) -> DataFrame:
     return counts.join(F.broadcast(total)).filter(f"Rows * {4 * buckets} > Total AND Rows > 1").select(key)  # one row
 
 
-def lay_out_tables(tables: DonorTables, spark: SparkSession, root: str, prefix: str, buckets: int = 64) -> DonorTables:
+def buckets_for(tables: DonorTables) -> int:
+    """As many buckets as the tables by donor need for ``ROWS_IN_BUCKET`` rows and ``TEXT_IN_BUCKET`` bytes of text in each, on average."""
+    needed = [LEAST_BUCKETS]
+    for name in BY_KEY:
+        table = getattr(tables, name)
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long") for f in table.schema if isinstance(f.dataType, StringType)]
+        rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(reduce(add, texts, F.lit(0).cast("long"))), F.lit(0))).first()
+        needed += [-(-rows // ROWS_IN_BUCKET), -(-size // TEXT_IN_BUCKET)]
+    return max(needed)
+
+
+def lay_out_tables(
+    tables: DonorTables, spark: SparkSession, root: str, prefix: str, buckets: int | None = None
+) -> DonorTables:
     """Writes all base tables below ``root`` and reads them from there.
 
-    Tables by donor get ``buckets`` files, one for each bucket; choose their number so that a bucket has some hundred MB. Spark keeps
+    Tables by donor get ``buckets`` files, one for each bucket; by default as many as :func:`buckets_for` finds. Spark keeps
     their description in its catalog, as ``prefix`` and the table's name; the files can be registered anew in another session by
     :func:`read_layout`.
     """
+    buckets = buckets_for(tables) if buckets is None else buckets
     guids, skewed = True, []
     for name in SCHEMAS:
         table, key = getattr(tables, name), BY_KEY.get(name)

@@ -23,6 +23,7 @@ from givingledger.operators.labels import gift_labels, gift_purposes, title_tota
 from givingledger.operators.notes import single_notes, with_notes
 from givingledger.plans.catalog import SAMPLE_PARAMS, catalog
 from givingledger.plans.export import donor_export
+from givingledger.sources import layout
 from givingledger.sources.donor_ids import read_donor_ids
 from givingledger.sources.layout import lay_out_tables, read_layout
 from givingledger.sources.sample_views import donor_tables, guid_tables
@@ -63,6 +64,23 @@ def test_layout_can_be_registered_again(spark, laid):
     assert "Bucketed: true" in planned(donor_rollup(giving_history(again.parts("donations")[0], SAMPLE_PARAMS)))
 
 
+def test_buckets_follow_the_data(spark, tmp_path, monkeypatch):
+    """Ten times the gifts, or much longer notes, need more buckets: one of them never holds more than its share."""
+    gifts = [gift(n, key=str(d)) for n in range(1, 11) for d in range(40)]
+    few, many = (make_tables(spark, donors=[donor(str(d)) for d in range(40)], donations=g) for g in (gifts[:40], gifts))
+    assert layout.buckets_for(few) == layout.buckets_for(make_tables(spark)) == layout.LEAST_BUCKETS
+    monkeypatch.setattr(layout, "ROWS_IN_BUCKET", 25)
+    assert (layout.buckets_for(few), layout.buckets_for(many)) == (8, 16)
+    stored = lay_out_tables(many, spark, f"file://{tmp_path}/many", "many_")
+    assert spark.read.parquet(f"file://{tmp_path}/many/{layout.ABOUT}").first()["Buckets"] == 16
+    found, expected = donor_export(stored, params()), donor_export(many, params())
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    monkeypatch.setattr(layout, "TEXT_IN_BUCKET", 100)
+    noted = few.notes.unionByName(spark.createDataFrame([("1", "1", "x" * 900, None), ("2", None, None, None)], few.notes.schema))
+    long = DonorTables(lambda name: noted if name == "notes" else getattr(few, name))
+    assert layout.buckets_for(long) == 10
+
+
 def test_gifts_in_buckets_are_not_shuffled(spark, laid):
     _, stored, _, _ = laid
     with settings(spark, NO_BROADCAST):
