@@ -31,8 +31,10 @@ NONE = "-" * 8
 
 
 def terms(text: Column) -> Column:
-    """The distinct term hashes of a text, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(split_words(lower_ascii(text), PUNCTUATION), lambda w: F.xxhash64(w))))
+    """The distinct term hashes of a text, in no order."""
+    plain = F.octet_length(text) == F.length(text)  # all ASCII, where lower() is the same and much faster
+    lowered = F.when(plain, F.lower(text)).otherwise(lower_ascii(text))
+    return F.array_distinct(F.transform(split_words(lowered, PUNCTUATION), lambda w: F.xxhash64(w)))
 
 
 def lexicon_rows(docs: DataFrame, low: float, high: float, buckets: int) -> DataFrame:
@@ -55,7 +57,6 @@ def fitted_lexicon(docs: DataFrame, low: float = 1 / 4096, high: float = 1 / 16,
 
 def subset_hashes(text: Column, lexicon: Column, buckets: int = BUCKETS) -> Column:
     """The hash of a text's kept terms in each subset, null where there is none."""
-    shares = F.array(*[F.lit(min(int(RATE**k * 2.0**63), 2**63 - 1)) for k in range(LEXICONS)])
 
     def listed(term: Column) -> Column:
         place = F.pmod(term, F.lit(buckets)).cast("int")
@@ -67,12 +68,16 @@ def subset_hashes(text: Column, lexicon: Column, buckets: int = BUCKETS) -> Colu
         banded = F.filter(every, listed)
         return F.transform(F.array(banded), lambda b: F.when(F.size(b) > 0, b).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text))))[0]
 
+    def subset(held: Column, k: int) -> Column:
+        """Shares and numbers of subsets are constants: this runs for each term and subset. The first one holds all terms."""
+        return held if k == 0 else F.filter(held, lambda t: F.shiftrightunsigned(F.xxhash64(t, F.lit(k)), 1) <= F.lit(int(RATE**k * 2.0**63)))
+
     def subsets(held: Column) -> Column:
-        members = F.transform(F.sequence(F.lit(0), F.lit(LEXICONS - 1)), lambda k: F.filter(
-            held, lambda t: F.call_function("shiftrightunsigned", F.xxhash64(t, k), F.lit(1)) <= F.get(shares, k)))
+        members = F.array(*[subset(held, k) for k in range(LEXICONS)])
         return F.transform(members, lambda m: F.when(F.size(m) > 0, F.hash(m)))
 
-    return F.transform(F.transform(F.array(terms(text)), kept), subsets)[0]
+    # sort_array compares numbers; array_sort would run a comparison of its own for each two of them
+    return F.transform(F.transform(F.array(F.sort_array(terms(text))), kept), subsets)[0]
 
 
 def spelled(hashes: Column) -> Column:

@@ -17,6 +17,7 @@ from conftest import PUNCTUATED, SPACED, lowered  # noqa: F401
 from pyspark.sql import functions as F
 
 from givingledger.llm import conversations, fingerprints, periodic_runs
+from givingledger.llm.common import PUNCTUATION, lower_ascii, split_words
 from givingledger.llm.queries import llm_queries
 
 FOLDER = "/root/testdata/sf0.001"
@@ -121,6 +122,17 @@ def test_fingerprints_use_built_in_functions_only(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_fingerprints_sort_and_lower_without_lambdas(spark):
+    """Terms are sorted as numbers, ASCII texts lowered as a whole; other texts keep letters beyond A-Z, as before."""
+    texts = ["B a B c", "\u00c4B \u0130X \u212aelvin ab", "", "ZZ-top \x00 Q[x]"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", fingerprints.terms(F.col("text")).alias("found"), F.array_sort(F.array_distinct(F.transform(
+        split_words(lower_ascii(F.col("text")), PUNCTUATION), lambda w: F.xxhash64(w)))).alias("expected")).collect()
+    assert len(rows) == 4 and all(sorted(r.found) == r.expected for r in rows)
+    plan = df.select(fingerprints.subset_hashes(F.col("text"), F.array(F.lit(-1).cast("long")), 64))._jdf.queryExecution().analyzed().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan and "sequence(" not in plan
+
+
 # --- conversation repair
 
 
