@@ -6,6 +6,7 @@ A word's 64-bit hash is a polynomial over random byte values, read off prefix su
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,20 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         row = end
 
 
+def made_powers(base: int, n: int) -> np.ndarray:
+    found = np.full(n, base, dtype=np.uint64)
+    found[0] = 1
+    return np.cumprod(found, dtype=np.uint64)
+
+
+block_powers = cache(made_powers)  # of a whole block, made once in a process
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1)."""
+    return block_powers(base, BLOCK + 1)[:n] if n <= BLOCK + 1 else made_powers(base, n)
+
+
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and the place of its row."""
     inside = np.zeros(len(data) + 2, dtype=np.int8)
@@ -57,18 +72,20 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     cuts = cuts[cuts > 0]
     after[cuts - 1] |= inside[1:-1][cuts - 1] == 1
     first, last = np.flatnonzero(before), np.flatnonzero(after) + 1
-    powers = np.full(len(data) + 1, BASE, dtype=np.uint64)
-    powers[0] = 1
-    powers = np.cumprod(powers, dtype=np.uint64)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(VALUES[data] * powers[:-1], dtype=np.uint64, out=sums[1:])
-    back = np.full(len(data) + 1, INVERSE, dtype=np.uint64)
-    back[0] = 1
-    back = np.cumprod(back, dtype=np.uint64)
-    hashes = mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
+    np.cumsum(VALUES[data] * powers(BASE, len(data)), dtype=np.uint64, out=sums[1:])
+    hashes = mix((sums[last] - sums[first]) * powers(INVERSE, len(data) + 1)[first] + (last - first).astype(np.uint64))
     return hashes, np.searchsorted(ends, first, side="right")
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """In order, each once."""
+    values = np.sort(values)
+    first = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
+
+
 def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, its distinct shingle hashes in order), for each row. A text of fewer words is one shingle; without words, none."""
     for row, data, ends in blocks(texts):
@@ -81,7 +98,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         for i in range(len(ends)):
             start, end = bounds[i], bounds[i + 1]
             if end - start >= SIZE:
-                yield row + i, np.unique(runs[start : end - SIZE + 1])
+                yield row + i, distinct(runs[start : end - SIZE + 1])
             elif end > start:
                 one = np.array([end - start], dtype=np.uint64)
                 for k in range(start, end):

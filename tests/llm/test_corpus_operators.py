@@ -13,7 +13,7 @@ import pytest
 from conftest import PUNCTUATED, SPACED, lowered  # noqa: F401
 
 import corpus_pipeline
-from givingledger.llm import contamination, near_duplicates, packing, token_files, url_filters
+from givingledger.llm import contamination, near_duplicates, packing, shingles, token_files, url_filters
 from givingledger.llm.common import ARROW_ROWS, small_batches
 from givingledger.llm.components import components
 from givingledger.llm.queries import llm_oracle, llm_queries, vocabulary_path
@@ -196,6 +196,17 @@ def test_each_row_counts_by_itself(spark):
     assert bag(kept) == bag([(1, "a"), (None, "b"), (9, "c"), (4, "d"), (5, "e"), (7, "f"), (7, "g"), (10, ""), (10, "")])
 
 
+def test_shingle_powers_are_made_once_for_all_blocks():
+    assert shingles.powers(shingles.BASE, 100).base is shingles.powers(shingles.BASE, shingles.BLOCK).base
+    for n in (1, 2, 1000, shingles.BLOCK + 1, shingles.BLOCK + 5):
+        found = shingles.powers(shingles.INVERSE, n)
+        assert len(found) == n and all(int(found[k]) == pow(shingles.INVERSE, k, 1 << 64) for k in {0, n // 2, n - 1})
+    long = " ".join(f"w{i % 7000}" for i in range(250_000))  # longer than a block
+    sets = dict(shingles.shingle_sets(pa.array(["a b c d e f", long, "w0 w1 w2 w3 w4 w5", None])))
+    assert len(long) > shingles.BLOCK and [len(sets[k]) for k in range(4)] == [2, 7000, 2, 0]
+    assert np.isin(sets[2], sets[1]).all() and (np.diff(sets[1].view(np.uint64)) > 0).all()
+
+
 def test_shingles_match_words():
     texts = ["a b c d e f", "A B  c\td e\n f", "", None, "x", " é a b c d e"]
     found = dict(shingle_sets(pa.array(texts)))
