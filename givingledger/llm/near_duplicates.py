@@ -7,9 +7,10 @@
 3. Rounds: in each token's list, by size band, one group is the pivot, in later rounds up to eight; each group proposes a
    link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
-4. Rest: in lists that still hold more than one component, groups outside a list's largest component meet the whole list;
-   pairs of different components that pass the length, signature and overlap filters are counted, expanded and verified. So no
-   link between different components is lost.
+4. Rest: in lists that still hold more than one component, groups outside a list's largest component meet the whole list, in
+   a second prefix: each group's tokens by the length of their lists, without the last ones, of which a similar pair shares more.
+   Pairs of different components that pass the length, place and signature filters are taken once, their shared tokens counted,
+   and expanded and verified. So no link between different components is lost, and long lists are seldom needed.
 
 A signature of a set says of 512 buckets whether each holds an odd number of its shingles. Two sets differ in at least as many
 shingles as their signatures in bits, and similar sets of n and m shingles in at most (n + m) / 9. A group of several classes has
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from givingledger.llm.common import fresh_names, slices, small_batches, written
@@ -209,26 +210,53 @@ def signatures(members: DataFrame) -> DataFrame:
                                     *[F.expr(f"bit_or({c}) ^ bit_and({c})").alias(f"not_{c}") for c in SIGNATURE])
 
 
-def remaining(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): pairs of groups of different components that can still be similar, each once.
+def needed(n: str, m: str) -> str:
+    """SQL for the least number of tokens that the prefixes of similar sets of n and m tokens share."""
+    return f"((4 * ({n} + {m}) + 8) div 9 - (4 * greatest({n}, {m}) + 4) div 5 + 1)"
+
+
+def meetings(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): pairs of groups of different components that can still be similar, from lists in which they meet.
 
-    In each list the component with most groups of its own is the main one; its groups do not meet each other. What both of a
-    pair have beyond the tokens shared here lies behind the end of one of the two prefixes, which bounds their overlap; so do the
-    places of each shared token.
+    In each list the component with most groups of its own is the main one; its groups do not meet each other. The tokens of a group
+    rank by the length of their lists, those of equal lists together. Of the tokens that a similar pair shares, as many as `needed`,
+    the first by rank has all others behind it in both groups, and is the first of its equal lists. So a pair meets only in the first
+    of equal lists, and only where both have that many tokens left, which is seldom in long lists. The places of a shared token bound
+    the overlap, and signatures the difference.
     """
-    counts = rows.filter("c_min = c_max").groupBy("token", "c_min").agg(F.count(F.lit(1)).alias("n_groups"))
-    main = counts.groupBy("token").agg(F.max(F.struct("n_groups", "c_min")).alias("main")).select("token", F.col("main.c_min").alias("main"))
-    marked = rows.join(main, "token", "left").join(signatures(members), "g").selectExpr(
-        "*", "NOT (c_min = c_max AND c_min <=> main) AS apart").drop("main")
-    left, right = (marked.select("token", *[F.col(c).alias(f"{c}_{s}") for c in marked.columns if c != "token"]) for s in "ab")
-    met = left.filter("apart_a").join(right, "token").filter(f"""
+    same = ["list_hi", "list_lo"]
+    counts = rows.groupBy("token", F.expr("if(c_min = c_max, c_min, null)").alias("only")).agg(
+        F.count(F.lit(1)).alias("n_groups"), F.min("n").alias("low"), F.max("n").alias("high"),
+        *[F.bit_xor(F.xxhash64(F.lit(k), "g")).alias(c) for k, c in enumerate(same)])
+    lists = counts.groupBy("token").agg(F.sum("n_groups").alias("length"), F.min("low").alias("low"), F.max("high").alias("high"),
+                                        F.max(F.expr("if(only is null, null, struct(n_groups, only))")).alias("main"),
+                                        *[F.bit_xor(c).alias(c) for c in same])
+    firsts = lists.groupBy("length", *same).agg(F.min("token").alias("token")).select("token")
+    ranks = Window.partitionBy("g").orderBy(F.desc("length"), *same, F.desc("token"))
+    ranked = rows.join(lists, "token").withColumn("left", F.row_number().over(ranks)).join(firsts, "token", "left_semi")
+    # Sizes in the list bound what is needed; whole numbers stray from a straight line by 2 at most.
+    able = ranked.filter(f"left + 2 >= least({needed('n', 'greatest(low, 4 * n div 5)')}, {needed('n', 'least(high, 5 * n div 4 + 1)')})")
+    marked = able.join(signatures(members), "g").selectExpr(
+        "token", "g", "n", "place", "left", "c_min", "c_max", *SIGNATURE, *[f"not_{c}" for c in SIGNATURE],
+        "NOT (c_min = c_max AND c_min <=> main.only) AS apart")
+    one, two = (marked.select("token", *[F.col(c).alias(f"{c}_{s}") for c in marked.columns if c != "token"]) for s in "ab")
+    met = one.filter("apart_a").join(two, "token").filter(f"""
         g_a != g_b AND (NOT apart_b OR g_a < g_b) AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)
         AND NOT (c_min_a = c_max_a AND c_min_b = c_max_b AND c_min_a = c_min_b)
+        AND least(left_a, left_b) >= {needed("n_a", "n_b")}
         AND 9 * (least(place_a, place_b) + least(n_a - place_a, n_b - place_b)) >= 4 * (n_a + n_b)
         AND 9 * {unlike("not_")} <= n_a + n_b""")
-    shared = met.groupBy(F.least("g_a", "g_b").alias("a"), F.greatest("g_a", "g_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.first(F.expr("n_a + n_b")).alias("sizes"), F.first(F.greatest("n_a", "n_b")).alias("longer"))
-    return shared.filter("9 * (shared + ceil(0.8 * longer) - 1) >= 4 * sizes").select("a", "b")
+    return met.select(F.least("g_a", "g_b").alias("a"), F.greatest("g_a", "g_b").alias("b"))
+
+
+def remaining(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): the pairs that meet, each once, whose prefixes share as many tokens as they must."""
+    pairs = written(meetings(rows, members).distinct(), "met")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
+    held = rows.join(ends, "g", "left_semi").groupBy("g").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"))
+    one, two = (held.select(*[F.col(c).alias(to) for c, to in zip(held.columns, to, strict=True)]) for to in (("a", "n", "x"), ("b", "m", "y")))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.filter(f"size(array_intersect(x, y)) >= {needed('n', 'm')}").select("a", "b")
 
 
 def expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:

@@ -168,6 +168,45 @@ def test_copies_just_below_the_threshold(spark, monkeypatch):
     assert len(found_pairs) == 1 and found_pairs[0] < 240 * 240 // 100
 
 
+def test_last_join_alone_finds_all_links(spark, monkeypatch):
+    """Without pivots, texts of many sizes around the threshold of size and overlap, some of one passage, some of few words."""
+    chance = random.Random(5)
+    rows = []
+    for family in range(12):
+        words = [f"f{family}w{k}" for k in range(chance.choice((4, 6, 9, 25, 60, 150, 400)))]
+        for _ in range(14):
+            mine = list(words)
+            for _ in range(chance.randrange(1 + len(mine) // 25)):
+                mine[chance.randrange(len(mine))] = f"own{len(rows)}"
+            mine = mine[: max(3, len(mine) - chance.randrange(1 + len(mine) // 4))]
+            extra = chance.randrange(1 + len(mine) // 6)
+            rows.append((len(rows), " ".join([*mine, *(f"p{k}" for k in range(extra))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(near_duplicates, "PIVOTS", ())
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components(rows)
+    assert 20 < len({c for _, c in found.values()}) < 160
+
+
+def test_texts_of_common_passages_meet_seldom(spark, monkeypatch):
+    """Long texts of passages that many others have, too: signatures cannot tell them apart, and each passage makes long lists."""
+    chance = random.Random(3)
+    passages = [" ".join(f"q{i}w{k}" for k in range(150)) for i in range(30)]
+    rows = [(i, " ".join(passages[k] for k in chance.sample(range(30), 10))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made, meetings = [], near_duplicates.meetings
+
+    def counted(*args):
+        met = meetings(*args)
+        made.append(met.count())
+        return met
+
+    monkeypatch.setattr(near_duplicates, "meetings", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components(rows)
+    assert len(made) == 1 and made[0] <= 80 * 80
+
+
 def test_near_duplicates_edge_cases(docs, no_docs):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
     assert found[5] == (0, 5) and found[6] == (0, 6) and found[7] == (0, 7)
