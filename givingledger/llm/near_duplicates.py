@@ -38,7 +38,7 @@ from givingledger.llm.shingles import mix, shingle_sets
 
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
-PIVOTS = (1, 8, 8)  # of each list, by round
+PIVOTS = (1, 8)  # of each list, by round; they spare work, step 4 finds what they leave
 BATCH = 1_000  # rows that go through Python at once
 BITS = 512
 ROW = ["row_hi", "row_lo"]
@@ -131,15 +131,15 @@ def sketches(docs: DataFrame) -> DataFrame:
     return written(docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string")).mapInArrow(sketch, SKETCH), "sketches")
 
 
-def token_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
-    """(id, tokens) of the classes listed in ids (id), each once."""
+def token_sets(docs: DataFrame, ids: DataFrame, few: bool, classes: DataFrame, repeated: bool) -> DataFrame:
+    """(id, tokens) of the classes listed in ids (id), each once. few: there are not more ids than a broadcast may hold."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BATCH):
             found = [tokens.view(np.int64) for _, tokens in shingle_sets(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "tokens"])
 
-    listed = bounded(ids)
+    listed = F.broadcast(ids) if few else bounded(ids)
     wanted = classes.select(F.col("class").alias("id"), *ROW).join(listed, "id", "left_semi")
     wanted = wanted if listed is ids else F.broadcast(wanted)  # a row for each id
     texts = docs.select(*row_key(), F.col("text").cast("string").alias("text")).join(wanted, ROW).select("id", "text")
@@ -147,11 +147,13 @@ def token_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, repeated: bo
     return texts.mapInArrow(sets, "id long, tokens array<long>")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, classes: DataFrame, repeated: bool) -> DataFrame:
     """The pairs (a, b) of classes, stored, whose sets are similar. Only sets of listed classes move, once for a pair."""
+    few = n_pairs <= MAX_BROADCAST
     ones, others = (pairs.select(F.col(c).alias("id")).distinct() for c in ("a", "b"))
-    left = token_sets(docs, ones, classes, repeated).withColumnsRenamed({"id": "a", "tokens": "x"}).join(bounded(pairs), "a")
-    both = left.join(token_sets(docs, others, classes, repeated).withColumnRenamed("id", "b"), "b")
+    left = token_sets(docs, ones, few, classes, repeated).withColumnsRenamed({"id": "a", "tokens": "x"}).join(
+        F.broadcast(pairs) if few else pairs, "a")
+    both = left.join(token_sets(docs, others, few, classes, repeated).withColumnRenamed("id", "b"), "b")
     common = F.size(F.array_intersect("x", "tokens"))
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("tokens") - common)).select("a", "b")
 
@@ -160,7 +162,7 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels (id, component) after joining components by verified links (a, b)."""
     ends = links.join(labels.withColumnsRenamed({"id": "a", "component": "ca"}), "a").join(
         labels.withColumnsRenamed({"id": "b", "component": "cb"}), "b")
-    merged = written(components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))), "merged")
+    merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     moved = labels.join(bounded(merged.select(F.col("component").alias("to"), F.col("id").alias("component"))), "component", "left")
     return written(moved.select("id", F.coalesce("to", "component").alias("component")), "labels")
 
@@ -308,12 +310,13 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
         wanted = (remaining(rows, members) if last else proposals(rows, round_)).unionByName(inside)
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
-        if pairs.isEmpty():
+        n_pairs = pairs.count()
+        if not n_pairs:
             continue
-        links = written(verified(docs, pairs, classes, repeated), "verified")
+        links = written(verified(docs, pairs, n_pairs, classes, repeated), "verified")
         if not links.isEmpty():
             labels = relabelled(labels, links)
-        tried = written(tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "tried")
+        tried = tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return sketch, with_first_rows(classes, labels)
 
 
