@@ -25,21 +25,19 @@ def small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("u", F.col("low").alias("v"))).distinct()
 
 
-def digest(links: DataFrame) -> tuple:
-    hashed = F.xxhash64("u", "v")
-    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(hashed), F.sum(F.shiftrightunsigned(hashed, 20))).first())
+def stars(links: DataFrame) -> bool:
+    """Whether each id has one link at most to a smaller id, and that id none: then it is the smallest that is reached."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("down")),
+                                          F.struct(F.col("v").alias("id"), F.lit(0).alias("down")))).alias("end"))
+    counts = ends.groupBy("end.id").agg(F.count(F.lit(1)).alias("n"), F.sum("end.down").alias("down"))
+    return counts.filter("down > 1 OR down = 1 AND n > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for each id in links (a, b): the smallest id that it reaches."""
     pairs = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     current = written(pairs, "links")
-    seen = digest(current)
-    while seen[0]:
+    while not stars(current):
         current = written(small_star(large_star(current)), "links")
-        now = digest(current)
-        if now == seen:
-            break
-        seen = now
     return current.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -158,12 +158,13 @@ def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, classes: DataFrame
     return both.filter(100 * common >= 80 * (F.size("x") + F.size("tokens") - common)).select("a", "b")
 
 
-def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+def relabelled(labels: DataFrame, links: DataFrame, n_links: int) -> DataFrame:
     """labels (id, component) after joining components by verified links (a, b)."""
     ends = links.join(labels.withColumnsRenamed({"id": "a", "component": "ca"}), "a").join(
         labels.withColumnsRenamed({"id": "b", "component": "cb"}), "b")
     merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    moved = labels.join(bounded(merged.select(F.col("component").alias("to"), F.col("id").alias("component"))), "component", "left")
+    to = merged.select(F.col("component").alias("to"), F.col("id").alias("component"))
+    moved = labels.join(F.broadcast(to) if 2 * n_links <= MAX_BROADCAST else to, "component", "left")
     return written(moved.select("id", F.coalesce("to", "component").alias("component")), "labels")
 
 
@@ -173,9 +174,9 @@ def group_state(members: DataFrame, labels: DataFrame) -> DataFrame:
         F.min("component").alias("c_min"), F.max("component").alias("c_max"))
 
 
-def open_lists(index: DataFrame, state: DataFrame) -> DataFrame:
-    """Index rows of the lists that hold more than one component."""
-    rows = index.join(bounded(state), "g")
+def open_lists(index: DataFrame, state: DataFrame, few: bool) -> DataFrame:
+    """Index rows of the lists that hold more than one component. few: there are not more groups than a broadcast may hold."""
+    rows = index.join(F.broadcast(state) if few else state, "g")
     mixed = rows.groupBy("token").agg(F.min("c_min").alias("low"), F.max("c_max").alias("high")).filter("low != high").select("token")
     return rows.join(mixed, "token")
 
@@ -303,19 +304,21 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = by_token.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     index = written(by_token.join(shared, "token"), "index")
     labels = written(classes.select(F.col("class").alias("id"), F.col("class").alias("component")), "labels")
+    few = members.filter("class = g").count() <= MAX_BROADCAST
     inside = members.filter("n_classes > 1").select(F.col("g").alias("a"), F.col("g").alias("b")).distinct()
     tried = labels.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     for round_ in range(len(PIVOTS) + 1):
         last = round_ == len(PIVOTS)
-        rows = written(open_lists(index, written(group_state(members, labels), "state")), "open")
+        rows = written(open_lists(index, written(group_state(members, labels), "state"), few), "open")
         wanted = (remaining(rows, members) if last else proposals(rows, round_)).unionByName(inside)
         pairs = written(expanded(wanted, members, labels, tried, whole=last), "pairs")
         n_pairs = pairs.count()
         if not n_pairs:
             continue
         links = written(verified(docs, pairs, n_pairs, classes, repeated), "verified")
-        if not links.isEmpty():
-            labels = relabelled(labels, links)
+        n_links = links.count()
+        if n_links:
+            labels = relabelled(labels, links, n_links)
         tried = tried.unionByName(pairs).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return sketch, with_first_rows(classes, labels)
 

@@ -259,6 +259,16 @@ def test_components(spark):
     assert found == {i: 0 for i in range(31)} | {50: 50, 70: 50, 100: 50}
 
 
+def test_stars_are_components_at_once(spark, monkeypatch):
+    """Links that all lead to the smallest id are stored once and not gone through again."""
+    import givingledger.llm.components as module
+
+    stored, written = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: stored.append(name) or written(df, name))
+    found = {r.id: r.component for r in components(spark.createDataFrame([(1, 2), (4, 3), (5, 1), (2, 1)], "a long, b long")).collect()}
+    assert found == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3} and stored == ["links"]
+
+
 def test_packing_rules():
     found = packing.pack([1500, 1000, 548, 500, 40], (512, 1024, 2048))
     assert found == [(2048, [0, 2]), (2048, [1, 3, 4])]
