@@ -5,7 +5,9 @@
 2. Equal sets are one class; classes with equal size and prefix are one group. The index holds the prefix of one document
    of each group, as rows (token, group, size, place).
 3. Rounds: in each token's list, by size band, one group is the pivot, in later rounds up to eight; each group proposes a
-   link to those of other components with which it shares enough, in the first round only the most. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
+   link to those of other components with which it shares enough, in the first round only the most. There the pivot is the group
+   whose prefix has most of what many texts share, so that near copies of one text all meet the one with least of its own; in later
+   rounds chance decides. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
 4. Rest: in lists that still hold more than one component, groups outside a list's largest component meet the whole list, in
    a second prefix: each group's tokens by the length of their lists, without the last ones, of which a similar pair shares more.
@@ -44,7 +46,8 @@ BITS = 512
 ROW = ["row_hi", "row_lo"]
 CLASS = ["n", "set_hi", "set_lo", "prefix_hi", "prefix_lo"]  # a set has one prefix
 SIGNATURE = [f"s{k}" for k in range(BITS // 64)]
-SKETCH = ", ".join(f"{c} long" for c in ("doc_id", *ROW, *CLASS, *SIGNATURE)) + ", prefix array<long>"
+OF_SET = [*SIGNATURE, "weight"]  # weight: how often, as a sum of logarithms, the frequent shingles of the prefix are met
+SKETCH = ", ".join(f"{c} long" for c in ("doc_id", *ROW, *CLASS, *OF_SET)) + ", prefix array<long>"
 GROUP = ["n", "prefix_hi", "prefix_lo"]
 
 
@@ -105,28 +108,29 @@ def hot_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """For each row its set's size and digest, and the prefix with its digest; stored."""
+    """For each row its set's size, digest, signature and weight, and the prefix with its digest; stored."""
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(docs))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_hot, n_hot = hot.value
         for batch in slices(batches, BATCH):
-            rows: list[list] = [[] for _ in range(6 + len(SIGNATURE))]
+            rows: list[list] = [[] for _ in range(6 + len(OF_SET))]
             for _, tokens in shingle_sets(batch.column("text")):
                 size = prefix_length(len(tokens)) if len(tokens) else 0
                 at = np.minimum(np.searchsorted(tokens_hot, tokens), max(len(tokens_hot) - 1, 0))
                 hits = tokens_hot[at] == tokens if len(tokens_hot) else np.zeros(len(tokens), dtype=bool)
                 cold = tokens[~hits]
-                prefix = cold[:size]
+                prefix, weight = cold[:size], 0
                 if len(prefix) < size:
                     warm, often = tokens[hits], n_hot[at[hits]]
-                    prefix = np.concatenate([prefix, warm[np.lexsort((warm, often))][: size - len(prefix)]])
-                values = (len(tokens), *digest(tokens), *digest(prefix), *signature(tokens), prefix.view(np.int64))
+                    first = np.lexsort((warm, often))[: size - len(prefix)]
+                    prefix, weight = np.concatenate([prefix, warm[first]]), int(256 * np.log2(often[first]).sum())
+                values = (len(tokens), *digest(tokens), *digest(prefix), *signature(tokens), weight, prefix.view(np.int64))
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
             arrays = [pa.array(c, pa.int64()) for c in rows[:-1]] + [pa.array(rows[-1], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", *ROW)], *arrays], schema=pa.schema(
-                [pa.field(c, pa.int64()) for c in ("doc_id", *ROW, *CLASS, *SIGNATURE)] + [pa.field("prefix", pa.list_(pa.int64()))]))
+                [pa.field(c, pa.int64()) for c in ("doc_id", *ROW, *CLASS, *OF_SET)] + [pa.field("prefix", pa.list_(pa.int64()))]))
 
     return written(docs.select(F.col("doc_id").cast("long"), *row_key(), F.col("text").cast("string")).mapInArrow(sketch, SKETCH), "sketches")
 
@@ -169,9 +173,9 @@ def relabelled(labels: DataFrame, links: DataFrame, n_links: int) -> DataFrame:
 
 
 def group_state(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(g, c_min, c_max): the components that a group's classes belong to."""
+    """(g, c_min, c_max, weight): the components that a group's classes belong to, and the weight of its prefix."""
     return members.join(labels.withColumnRenamed("id", "class"), "class").groupBy("g").agg(
-        F.min("component").alias("c_min"), F.max("component").alias("c_max"))
+        F.min("component").alias("c_min"), F.max("component").alias("c_max"), F.max("weight").alias("weight"))
 
 
 def open_lists(index: DataFrame, state: DataFrame, few: bool) -> DataFrame:
@@ -186,7 +190,8 @@ def proposals(rows: DataFrame, round_: int) -> DataFrame:
     n_pivots = PIVOTS[round_]
     banded = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 0.5 * round_))
     kept = ("g", "n", "place", "c_min", "c_max")
-    lowest = [F.min(F.struct(F.xxhash64("g", F.lit(100 * round_ + k)).alias("rank"), *kept)) for k in range(n_pivots)]
+    lightness = F.lit(0) if round_ else -F.col("weight")
+    lowest = [F.min(F.struct(lightness.alias("lightness"), F.xxhash64("g", F.lit(100 * round_ + k)).alias("rank"), *kept)) for k in range(n_pivots)]
     chosen = banded.groupBy("token", "band").agg(F.array(*lowest).alias("chosen"))
     distinct = F.array_distinct(F.transform("chosen", lambda p: F.struct(*[p[c].alias(c) for c in kept])))
     pivots = chosen.select("token", "band", F.explode(distinct).alias("p"))
@@ -281,11 +286,11 @@ def first_row() -> Column:
 
 
 def classes_of(sketch: DataFrame) -> DataFrame:
-    """(*CLASS, *SIGNATURE, doc_id, *ROW, copies, class): each class with a number and its first row, there `copies` times; stored."""
-    same = [F.max(c).alias(c) for c in SIGNATURE]  # rows of a class have one signature
+    """(*CLASS, *OF_SET, doc_id, *ROW, copies, class): each class with a number and its first row, there `copies` times; stored."""
+    same = [F.max(c).alias(c) for c in OF_SET]  # rows of a class have one signature and weight
     rows = sketch.filter("n > 0").groupBy(*CLASS, "doc_id", *ROW).agg(F.count(F.lit(1)).alias("copies"), *same)
     found = rows.groupBy(*CLASS).agg(first_row(), *same)
-    return written(found.select(*CLASS, *SIGNATURE, "first.doc_id", *[f"first.{c}" for c in ROW], "first.copies",
+    return written(found.select(*CLASS, *OF_SET, "first.doc_id", *[f"first.{c}" for c in ROW], "first.copies",
                                 F.monotonically_increasing_id().alias("class")), "classes")
 
 
@@ -296,10 +301,10 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = classes_of(sketch)
     repeated = not classes.filter("copies > 1").isEmpty()
     groups = classes.groupBy(*GROUP).agg(F.min("class").alias("g"), F.count(F.lit(1)).alias("n_classes"))
-    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes", *GROUP, *ROW, *SIGNATURE), "members")
+    members = written(classes.join(groups, GROUP).select("g", "class", "n_classes", *GROUP, *ROW, *OF_SET), "members")
     chosen = sketch.join(members.filter("class = g").select("g", *GROUP, *ROW), [*GROUP, *ROW]).dropDuplicates([*GROUP, *ROW])
     exploded = chosen.select("g", "n", F.posexplode("prefix").alias("place", "token"))
-    members = members.select("g", "class", "n_classes", "n", *SIGNATURE)
+    members = members.select("g", "class", "n_classes", "n", *OF_SET)
     by_token = exploded.repartition("token")
     shared = by_token.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low < high").select("token")
     index = written(by_token.join(shared, "token"), "index")

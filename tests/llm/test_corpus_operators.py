@@ -207,6 +207,31 @@ def test_texts_of_common_passages_meet_seldom(spark, monkeypatch):
     assert len(made) == 1 and made[0] <= 80 * 80
 
 
+def test_near_copies_of_one_text_meet_it_first(spark, monkeypatch):
+    """A text and many copies with one to three words changed, most of them alike to it only: few pairs are left for the last step."""
+    chance = random.Random(17)
+    rows = []
+    for i in range(400):
+        words = [f"b{k}" for k in range(150)]
+        for k in chance.sample(range(150), i and 1 + i % 3):
+            words[k] = f"own{i}-{k}"
+        rows.append((i, " ".join(words)))
+    chance.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made, meetings = [], near_duplicates.meetings
+
+    def counted(*args):
+        met = meetings(*args).distinct()
+        made.append(met.count())
+        return met
+
+    monkeypatch.setattr(near_duplicates, "meetings", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert found == expected_components(rows)
+    assert max(Counter(c for _, c in found.values()).values()) > 390
+    assert len(made) == 1 and made[0] < 400
+
+
 def test_near_duplicates_edge_cases(docs, no_docs):
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(docs).collect()}
     assert found[5] == (0, 5) and found[6] == (0, 6) and found[7] == (0, 7)
