@@ -4,8 +4,8 @@
    for all sets. It steers work only; any order gives the same links.
 2. Equal sets are one class; classes with equal size and prefix are one group. The index holds the prefix of one document
    of each group, as rows (token, group, size, place).
-3. Rounds: in each token's list, by size band, one group is the pivot, in later rounds up to eight; each group proposes a
-   link to those of other components with which it shares enough, in the first round only the most. There the pivot is the group
+3. Rounds, at present one: in each token's list, by size band, one group is the pivot, in later rounds several; each group proposes
+   a link to those of other components with which it shares enough, in the first round only the most. There the pivot is the group
    whose prefix has most of what many texts share, so that near copies of one text all meet the one with least of its own; in later
    rounds chance decides. Members of a proposed pair are expanded and verified on whole sets; verified links join components. Rows
    grow with the lists, not with their squares, and large groups of near copies become one component.
@@ -40,7 +40,7 @@ from givingledger.llm.shingles import mix, shingle_sets
 
 HOT_ROWS = 1 << 17
 MAX_BROADCAST = 1_000_000
-PIVOTS = (1, 8)  # of each list, by round; they spare work, step 4 finds what they leave
+PIVOTS = (1,)  # of each list, by round; they spare work, step 4 finds what they leave
 BATCH = 1_000  # rows that go through Python at once
 BITS = 512
 ROW = ["row_hi", "row_lo"]
